@@ -1,58 +1,53 @@
-"""Running totals over an ordered column without one global sort task."""
+"""Running totals over ordered values without one global sort task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_splits(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
-    """Equal-depth split points of a column, a list of fixed length."""
+def value_splits(totals: DataFrame, group: str, value: str, buckets: int | None = None) -> dict[str, list[float]]:
+    """Equal-depth split points of the values per group: ``buckets - 1`` numbers each."""
     if buckets is None:
-        buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(8, int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     marks = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(column, marks, 0.25 / buckets)
-    return sorted({v for v in found if v == v})
+    found = totals.groupBy(group).agg(F.percentile_approx(value, marks, 8 * buckets).alias("s")).collect()
+    return {row[group]: sorted(set(row["s"])) for row in found}
 
 
-def running_totals(
-    totals: DataFrame, value: str, measures: Sequence[str], splits: Sequence[float]
-) -> DataFrame:
-    """Add ``cum_<measure>`` and ``next_value`` to a table with one row per value.
+def running_totals(totals: DataFrame, group: str, value: str, measures: Sequence[str]) -> DataFrame:
+    """Add ``cum_<measure>`` and ``next_value`` to a table with one row per (group, value).
 
-    Each bucket between two split points is summed by itself; the bucket
-    offsets come from a table with one row per bucket. Exact for any splits:
-    they only decide how evenly the work is spread.
+    ``totals`` should be settled: it is read for the split points and again for
+    the sums, and ``group`` has few members (columns of a table). Values fall
+    into buckets between split points; each bucket is summed by itself and the
+    bucket offsets come from a table with one row per bucket. The result is
+    exact for any split points, they only decide how evenly the work spreads.
     """
-    cut = Bucketizer(
-        splits=[float("-inf"), *splits, float("inf")],
-        inputCol=value,
-        outputCol="__bucket",
-        handleInvalid="error",
-    )
-    bucketed = cut.transform(totals)
-    inner = Window.partitionBy("__bucket").orderBy(value)
+    bucket: Column = F.lit(0)
+    splits = value_splits(totals, group, value)
+    for member, points in splits.items():
+        below = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda p: p < F.col(value)))
+        bucket = F.when(F.col(group) == member, below).otherwise(bucket)
+    bucketed = totals.withColumn("__bucket", bucket)
+    inner = Window.partitionBy(group, "__bucket").orderBy(value)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
-    # One row per bucket: len(splits) + 1 rows at most.
-    per_bucket = bucketed.groupBy("__bucket").agg(
+    per_bucket = bucketed.groupBy(group, "__bucket").agg(
         F.min(value).alias("__first"), *[F.sum(m).alias(f"__t_{m}") for m in measures]
     )
-    outer = Window.orderBy("__bucket")
+    outer = Window.partitionBy(group).orderBy("__bucket")
+    before = outer.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
+        group,
         "__bucket",
         F.lead("__first").over(outer).alias("__next_first"),
-        *[
-            F.coalesce(F.sum(f"__t_{m}").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-                f"__o_{m}"
-            )
-            for m in measures
-        ],
+        *[F.coalesce(F.sum(f"__t_{m}").over(before), F.lit(0)).alias(f"__o_{m}") for m in measures],
     )
     return (
-        bucketed.join(F.broadcast(offsets), "__bucket")
+        # One row per (group member, bucket): a fixed number of buckets.
+        bucketed.join(F.broadcast(offsets), [group, "__bucket"])
         .withColumns(
             {
                 **{f"cum_{m}": F.sum(m).over(upto) + F.col(f"__o_{m}") for m in measures},

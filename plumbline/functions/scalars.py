@@ -6,13 +6,18 @@ collected on the driver and no join is needed to bring it to the rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def one_row(stats: DataFrame) -> Callable[[str], Column]:
-    """``get(name)`` for the fields of a one-row DataFrame, as a single reused subquery."""
-    packed = stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("s")).scalar()
-    return lambda name: packed.getField(name)
+def attach(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """Add a one-row table to every row as the struct column ``name``.
+
+    All fields come from one subquery, however often they are used.
+    """
+    return df.withColumn(name, scalar(stats))
+
+
+def scalar(stats: DataFrame) -> Column:
+    """A one-row table as a struct-valued scalar subquery."""
+    return stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("s")).scalar()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, is_text, parse_currency
 from plumbline.functions.quantiles import quantile_row
-from plumbline.functions.scalars import one_row
 from plumbline.functions.text import strip, title_case
 
 # Fixed values.
@@ -43,13 +42,12 @@ def normalize_price(
     """
     value = price_value(df, column)
     valid = {column: F.when(value > 0, value)}
-    median = one_row(quantile_row(df, valid, {"median": 0.5}))(f"{column}_median")
-    fallbacks = [median]
+    median = quantile_row(df, valid, {"median": 0.5}).select(F.col(f"{column}_median").alias("m"))
+    fallbacks = [median.scalar()]
     if raw is not None and column in raw.columns:
         raw_value = price_value(raw, column)
-        fallbacks.append(
-            one_row(quantile_row(raw, {column: F.when(raw_value > 0, raw_value)}, {"median": 0.5}))(f"{column}_median")
-        )
+        raw_valid = {column: F.when(raw_value > 0, raw_value)}
+        fallbacks.append(quantile_row(raw, raw_valid, {"median": 0.5}).select(f"{column}_median").scalar())
     fallback = F.coalesce(*fallbacks, F.lit(DEFAULT_PRICE))
     good = F.when(value > 0, value)
     if raw is None or row_id not in raw.columns or row_id not in df.columns or column not in raw.columns:
@@ -57,14 +55,18 @@ def normalize_price(
     first_raw = keep_first(raw.select(key, row_id, column), key, [row_id])
     raw_price = price_value(raw, column)
     lookup = first_raw.select(
-        F.col(row_id).alias("__raw_id"), F.when(raw_price > 0, raw_price).alias("__raw_price")
+        F.col(row_id).cast("string").alias("__raw_id"),
+        F.lit(True).alias("__raw"),
+        F.when(raw_price > 0, raw_price).alias("__raw_price"),
     ).where(F.col("__raw_price").isNotNull())
-    # Only rows without a good price need the lookup; the others carry a null
-    # join key plus their own key, so they spread evenly and match nothing.
-    needed = F.when(good.isNull(), F.col(row_id))
-    joined = df.withColumn("__need", needed).join(lookup, F.col("__need") == F.col("__raw_id"), "left")
+    # Only rows without a good price look anything up. The others join on their
+    # own key, which spreads them evenly and matches nothing.
+    join_key = F.when(good.isNull(), F.col(row_id).cast("string")).otherwise(F.col(key).cast("string"))
+    joined = df.withColumns({"__need": join_key, "__open": good.isNull()}).join(
+        lookup, (F.col("__need") == F.col("__raw_id")) & (F.col("__open") == F.col("__raw")), "left"
+    )
     return joined.withColumn(column, F.round(F.coalesce(good, F.col("__raw_price"), fallback), 2)).drop(
-        "__need", "__raw_id", "__raw_price"
+        "__need", "__open", "__raw_id", "__raw", "__raw_price"
     )
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, count_where, is_missing, is_numeric, is_text, percent
-from plumbline.functions.quantiles import quantile_table
-from plumbline.functions.scalars import one_row
+from plumbline.functions.quantiles import quantile_row, quantile_table
+from plumbline.functions.scalars import attach
 from plumbline.functions.text import strip
 
 # Columns of the correlation matrix and of its plotted triangle.
@@ -183,10 +183,11 @@ def correlation_triangle(df: DataFrame, columns: Sequence[str] = TRIANGLE_COLUMN
 def missing_matrix(df: DataFrame, key: str, buckets: int = 20) -> DataFrame:
     """Missing share per (row bucket, column): the data behind a missingness heat map."""
     names = _without(df, key)
-    span = one_row(df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")))
-    width = (span("hi") - span("lo") + 1) / F.lit(float(buckets))
-    bucket = F.least(F.floor((F.col(key) - span("lo")) / width), F.lit(buckets - 1)).cast("bigint")
-    grouped = df.groupBy(bucket.alias("bucket")).agg(
+    span = F.col("__span")
+    width = (span["hi"] - span["lo"] + 1) / F.lit(float(buckets))
+    bucket = F.least(F.floor((F.col(key) - span["lo"]) / width), F.lit(buckets - 1)).cast("bigint")
+    spanned = attach(df, df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")), "__span")
+    grouped = spanned.groupBy(bucket.alias("bucket")).agg(
         F.count("*").alias("rows"), *[count_where(is_missing(df, c)).alias(c) for c in names]
     )
     long = grouped.unpivot(["bucket", "rows"], names, "column", "missing_count")
@@ -202,10 +203,12 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], annotate_above: float =
     """
     exprs = {c: as_double(df, c) for c in columns}
     box = quantile_table(df, exprs, QUARTILES)
-    get = {c: one_row(box.where(F.col("column") == c).select("q25", "q75")) for c in columns}
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    quarters = quantile_row(df, {names[c]: exprs[c] for c in columns}, {"q25": 0.25, "q75": 0.75})
+    q = F.col("__q")
     aggregates = []
     for i, c in enumerate(columns):
-        v, q1, q3 = exprs[c], get[c]("q25"), get[c]("q75")
+        v, q1, q3 = exprs[c], q[f"{names[c]}_q25"], q[f"{names[c]}_q75"]
         low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
         aggregates += [
             F.min(F.when(v >= low, v)).alias(f"wl{i}"),
@@ -214,7 +217,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], annotate_above: float =
             F.max(v).alias(f"m{i}"),
         ]
     rows = ", ".join(f"'{c}', wl{i}, wh{i}, f{i}, m{i}" for i, c in enumerate(columns))
-    whiskers = df.agg(*aggregates).selectExpr(
+    whiskers = attach(df, quarters, "__q").agg(*aggregates).selectExpr(
         f"stack({len(columns)}, {rows}) AS (column, whisker_low, whisker_high, flier_count, max_value)"
     )
     # One row per named column on both sides.
@@ -230,9 +233,11 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], annotate_above: float =
 def boxplot_fliers(df: DataFrame, key: str, column: str) -> DataFrame:
     """The rows outside the whiskers of one column."""
     v = as_double(df, column)
-    q = one_row(quantile_table(df, {column: v}, QUARTILES).select("q25", "q75"))
-    reach = 1.5 * (q("q75") - q("q25"))
-    return df.where((v < q("q25") - reach) | (v > q("q75") + reach)).select(key, v.alias("value"))
+    q = F.col("__q")
+    reach = 1.5 * (q["q75"] - q["q25"])
+    boxed = attach(df.select(key, v.alias("value")), quantile_table(df, {column: v}, QUARTILES).select("q25", "q75"), "__q")
+    outside = (F.col("value") < q["q25"] - reach) | (F.col("value") > q["q75"] + reach)
+    return boxed.where(outside).select(key, "value")
 
 
 # Names the semantic-type decision list knows.

@@ -15,6 +15,7 @@ def local_session(cpus: int | str = "*", name: str = "plumbline") -> SparkSessio
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -102,7 +102,7 @@ LISTING_COLUMNS = {
     "amenities": (
         "CASE o_orderkey % 10 WHEN 0 THEN NULL WHEN 1 THEN '[]' WHEN 2 THEN 'Wifi, Kitchen , Free parking' "
         "WHEN 3 THEN '[\"Wifi\", \"Wifi\", \"Heating\"]' WHEN 4 THEN '[\"Café corner\", \"TV\"]' "
-        "WHEN 5 THEN '[''Washer'', ''Dryer'']' "
+        "WHEN 5 THEN '[{q}Washer{q}, {q}Dryer{q}]' "
         "ELSE concat('[\"Wifi\", \"Kitchen\", \"Smoke alarm\", \"Item ', CAST(o_orderkey % 40 AS {text}), '\"]') END"
     ),
 }
@@ -110,6 +110,7 @@ LISTING_COLUMNS = {
 def _dialect(expression: str, dialect: str) -> str:
     """Fill in the few spellings that differ between the two SQL dialects."""
     text = expression.replace("{text}", "STRING" if dialect == "spark" else "VARCHAR")
+    text = text.replace("{q}", "\\'" if dialect == "spark" else "''")  # a quote inside a literal
     for mark, spark_format, duck_format in (
         ("{dmy}", "dd-MM-yyyy", "%d-%m-%Y"),
         ("{ymd}", "yyyy-MM-dd", "%Y-%m-%d"),
@@ -124,8 +125,6 @@ def _dialect(expression: str, dialect: str) -> str:
                 else f"strftime({argument}, '{duck_format}')"
             )
             text = text[:start] + call + text[end + 1 :]
-    if dialect == "spark":
-        text = text.replace("''", "\\'")  # a quote inside a literal
     return text
 
 
