@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.session import settle
+from plumbline.session import settle, spread
 
 BOX_ROWS = 20_000  # rows aimed at per box
 TILE_ROWS = 100_000  # most rows of a box handled by one task
@@ -297,7 +297,7 @@ def nearest(
         out["radius"] = radius
         return out
 
-    seekers = tiled.groupBy("box", "tile").applyInPandas(
+    seekers = spread(tiled, "box", "tile").groupBy("box", "tile").applyInPandas(
         bound_in_tile, T.StructType([*fields, T.StructField("radius", T.DoubleType())])
     )
 
@@ -359,8 +359,9 @@ def nearest(
         return pd.concat(found, ignore_index=True) if found else empty
 
     met = (
-        arriving.groupBy("box", "tile", "part")
-        .cogroup(hosting.groupBy("box", "tile", "part"))
+        spread(arriving, "box", "tile", "part")
+        .groupBy("box", "tile", "part")
+        .cogroup(spread(hosting, "box", "tile", "part").groupBy("box", "tile", "part"))
         .applyInPandas(meet, "key bigint, target string, neighbour bigint, distance double, value double")
     )
     best = Window.partitionBy("key", "target").orderBy("distance", "neighbour")

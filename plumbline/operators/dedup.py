@@ -16,7 +16,8 @@ procedure for blocks of any size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import namedtuple
+from collections.abc import Callable, Iterable, Sequence
 from difflib import SequenceMatcher
 from functools import reduce
 
@@ -28,7 +29,7 @@ from plumbline.functions.numeric import as_double
 from plumbline.functions.skew import lookup_groups
 from plumbline.functions.text import SPACE, strip
 from plumbline.operators.normalize import keep_first
-from plumbline.session import settle
+from plumbline.session import settle, spread
 
 # Fixed values.
 THRESHOLD = 0.50
@@ -42,23 +43,32 @@ def compared_columns(df: DataFrame, key: str) -> list[str]:
     return [c for c in df.columns if c != key]
 
 
+def row_signature(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of the row's cells; nulls count as equal."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+
+
 def exact_duplicates(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Later copies of equal rows: ``(key, retained_key)``; the first copy is retained.
 
-    Groups are counted before anything is joined and only repeated ones come
-    back, with the hot ones broadcast.
+    Signatures are counted before anything is joined and only repeated ones
+    come back, with the hot ones broadcast.
     """
-    columns = list(columns or compared_columns(df, key))
-    groups = (
-        df.groupBy(*columns).agg(F.min(key).alias("retained_key"), F.count("*").alias("copies")).where(F.col("copies") > 1)
-    )
-    found = lookup_groups(df.select(key, *columns), groups, columns, "copies", how="inner")
-    return found.where(F.col(key) != F.col("retained_key")).select(key, "retained_key")
+    signature = row_signature(df, columns or compared_columns(df, key))
+    signed = df.select(F.col(key).alias("ord"), signature.alias("sig"))
+    return _later_copies(signed, ["sig"]).withColumnRenamed("ord", key)
+
+
+def _later_copies(rows: DataFrame, on: list[str]) -> DataFrame:
+    groups = rows.groupBy(*on).agg(F.min("ord").alias("retained_key"), F.count("*").alias("copies"))
+    found = lookup_groups(rows, groups.where(F.col("copies") > 1), on, "copies", how="inner")
+    return found.where(F.col("ord") != F.col("retained_key")).select("ord", "retained_key")
 
 
 def drop_exact_duplicates(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The first copy of every row."""
-    return keep_first(df, key, list(columns or compared_columns(df, key)))
+    signature = row_signature(df, columns or compared_columns(df, key))
+    return keep_first(df.withColumn("__sig", signature), key, ["__sig"]).drop("__sig")
 
 
 def clean_name(column: str = "name") -> Column:
@@ -96,51 +106,70 @@ def block_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def ratio(a: str, b: str) -> float:
-    """Ratcliff/Obershelp similarity, earlier text first."""
-    return SequenceMatcher(None, a, b).ratio()
+def ratio_matcher(later: str, threshold: float) -> Callable[[str], float | None]:
+    """Ratcliff/Obershelp similarity of earlier texts to ``later``, where it reaches the threshold.
 
+    The index over ``later`` is built once; both quick figures are upper
+    bounds of the ratio, so they only save work.
+    """
+    matcher = SequenceMatcher()
+    matcher.set_seq2(later)
 
-def _ratio_at_least(a: str, b: str, threshold: float) -> float | None:
-    matcher = SequenceMatcher(None, a, b)
-    # Both quick figures are upper bounds of the ratio.
-    if matcher.real_quick_ratio() < threshold or matcher.quick_ratio() < threshold:
-        return None
-    score = matcher.ratio()
-    return score if score >= threshold else None
+    def score(earlier: str) -> float | None:
+        matcher.set_seq1(earlier)
+        if matcher.real_quick_ratio() < threshold or matcher.quick_ratio() < threshold:
+            return None
+        found = matcher.ratio()
+        return found if found >= threshold else None
 
+    return score
 
-def _edit_distance(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        previous, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            previous, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, previous + (x != y))
-    return row[-1]
-
-
-def _edit_similarity_at_least(a: str, b: str, threshold: float) -> float | None:
-    longest = max(len(a), len(b))
-    if not longest:
-        return 1.0
-    # The distance is at least the difference in length.
-    if 1 - abs(len(a) - len(b)) / longest < threshold:
+
+def edit_matcher(later: str, threshold: float) -> Callable[[str], float | None]:
+    """``1 - edit distance / longer length`` where it reaches the threshold."""
+
+    def score(earlier: str) -> float | None:
+        longest = max(len(earlier), len(later), 1)
+        most = next((d for d in range(longest, -1, -1) if 1 - d / longest >= threshold), -1)
+        distance = edit_distance(earlier, later, most)
+        return None if distance is None else 1 - distance / longest
+
+    return score
+
+
+def edit_distance(a: str, b: str, most: int) -> int | None:
+    """Edit distance, or None when it exceeds ``most``; only a band of the table is filled."""
+    if abs(len(a) - len(b)) > most:
         return None
-    score = 1 - _edit_distance(a, b) / longest
-    return score if score >= threshold else None
+    far = most + 1
+    row = [j if j <= most else far for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        lo, hi = max(1, i - most), min(len(b), i + most)
+        previous = row[lo - 1]
+        row[lo - 1] = i if lo == 1 and i <= most else far
+        least = row[lo - 1]
+        for j in range(lo, hi + 1):
+            here = row[j] if j < i + most else far
+            row[j] = min(here + 1, row[j - 1] + 1, previous + (x != b[j - 1]), far)
+            previous = here
+            least = min(least, row[j])
+        if least >= far:
+            return None
+    return row[-1] if row[-1] <= most else None
 
 
-def _cosine_at_least(a: dict, b: dict, threshold: float) -> float | None:
-    shorter, longer = (a, b) if len(a) < len(b) else (b, a)
-    score = sum(w * longer.get(t, 0.0) for t, w in shorter.items())
-    return score if score >= threshold else None
+def cosine_matcher(later: Sequence, threshold: float) -> Callable[[Sequence], float | None]:
+    """Dot product of unit-length term weights where it reaches the threshold."""
+    weights = {e["term"]: e["w"] for e in later}
 
+    def score(earlier: Sequence) -> float | None:
+        found = sum(e["w"] * weights.get(e["term"], 0.0) for e in earlier)
+        return found if found >= threshold else None
 
-SIMILARITIES: dict[str, Callable] = {
-    "ratio": _ratio_at_least,
-    "levenshtein": _edit_similarity_at_least,
-    "tfidf": _cosine_at_least,
-}
+    return score
+
+
+MATCHERS: dict[str, Callable] = {"ratio": ratio_matcher, "levenshtein": edit_matcher, "tfidf": cosine_matcher}
 
 
 def name_weights(df: DataFrame, name: Column) -> DataFrame:
@@ -165,83 +194,91 @@ def name_weights(df: DataFrame, name: Column) -> DataFrame:
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.struct("term", "w")).alias("t")
     )
     unit = F.transform("t", lambda e: F.struct(e["term"].alias("term"), (e["w"] / F.col("norm")).alias("w")))
-    return packed.select("cname", F.map_from_entries(unit).alias("weights"))
+    return packed.select("cname", F.sort_array(unit).alias("weights"))
 
 
+Entry = namedtuple("Entry", ["ord", "id", "cname", "text"])
 ENTRY = "block_host bigint, block_lat double, block_lon double, ord bigint, id bigint, cname string"
-DECIDED = f"{ENTRY}, kept_ord bigint, kind string, similarity double"
-
-
-def _compare(entry, kept, threshold: float, method: str) -> tuple[str, float | None] | None:
-    """How an earlier kept entry removes a later one, if it does."""
-    same_id = entry.id == kept.id and not pd.isna(entry.id) and not pd.isna(kept.id)
-    if same_id or entry.cname == kept.cname:
-        return "exact", None
-    score = SIMILARITIES[method](kept.text, entry.text, threshold)
-    return None if score is None else ("fuzzy", score)
-
-
-def _settle_rows(rows: pd.DataFrame, earlier: Sequence, threshold: float, method: str, grow: bool) -> pd.DataFrame:
-    """Walk rows in order; each is removed by the first kept entry matching it, else kept when ``grow``."""
-    kept = list(earlier)
-    result = []
-    for row in rows.sort_values("ord").itertuples(index=False):
-        verdict = None
-        for other in kept:
-            verdict = _compare(row, other, threshold, method)
-            if verdict:
-                result.append((other.ord, *verdict))
-                break
-        if not verdict:
+
+
+def _walk(rows: Iterable, leaders: Iterable, threshold: float, method: str, grow: bool) -> list[tuple]:
+    """Walk entries in order; each falls to the first kept entry matching it, else it is kept when ``grow``.
+
+    Gives ``(ord, kept_ord, kind, similarity)`` per entry.
+    """
+    kept: list = []
+    by_id: dict = {}
+    by_name: dict = {}
+
+    def keep(entry) -> None:
+        if not pd.isna(entry.id):
+            by_id.setdefault(entry.id, len(kept))
+        by_name.setdefault(entry.cname, len(kept))
+        kept.append(entry)
+
+    for leader in leaders:
+        keep(leader)
+    verdicts = []
+    for row in rows:
+        equal = min(by_name.get(row.cname, len(kept)), len(kept) if pd.isna(row.id) else by_id.get(row.id, len(kept)))
+        by, kind, score = (kept[equal].ord, "exact", None) if equal < len(kept) else (None, None, None)
+        if method in MATCHERS:
+            match = MATCHERS[method](row.text, threshold)
+            for other in kept[:equal]:
+                found = match(other.text)
+                if found is not None:
+                    by, kind, score = other.ord, "fuzzy", found
+                    break
+        if kind is None:
+            by, kind = (row.ord, "kept") if grow else (-1, "open")
             if grow:
-                kept.append(row)
-            result.append((row.ord if grow else -1, "kept" if grow else "open", None))
-    out = rows.sort_values("ord").reset_index(drop=True)
-    out["kept_ord"] = [r[0] for r in result]
-    out["kind"] = [r[1] for r in result]
-    out["similarity"] = [float("nan") if r[2] is None else r[2] for r in result]
-    return out
+                keep(row)
+        verdicts.append((row.ord, by, kind, score))
+    return verdicts
 
 
 def resolve_entries(entries: DataFrame, threshold: float, method: str = "ratio") -> DataFrame:
-    """Decide every (block, name, id) entry: kept, or removed by which kept entry.
+    """The removed entries: by which kept entry, exact or fuzzy, with which similarity.
 
-    ``entries`` has the :data:`ENTRY` columns (with ``text`` in place of the
-    name where the similarity needs more than the name) and one row per entry.
+    ``entries`` has the :data:`ENTRY` columns and ``text`` (what the similarity
+    compares), one row per (block, name, id).
     """
-    text_type = "map<string,double>" if method == "tfidf" else "string"
-    schema_in = f"{ENTRY}, text {text_type}"
-    schema_out = f"{schema_in}, kept_ord bigint, kind string, similarity double"
-    base = ["block_host", "block_lat", "block_lon", "ord", "id", "cname", "text"]
+    text_type = "array<struct<term:string,w:double>>" if method == "tfidf" else "string"
+    verdict_type = "ord bigint, kept_ord bigint, kind string, similarity double"
+    base = [f.split()[0] for f in ENTRY.split(", ")] + ["text"]
 
-    def lead(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _settle_rows(pdf[base], [], threshold, method, grow=True)
+    @F.pandas_udf(f"array<struct<{verdict_type}>>")
+    def lead(blocks: pd.Series) -> pd.Series:
+        return blocks.map(lambda block: _walk([Entry(**e) for e in block], [], threshold, method, grow=True))
 
     def sweep(rest: pd.DataFrame, leaders: pd.DataFrame) -> pd.DataFrame:
-        known = list(leaders.sort_values("ord")[base].itertuples(index=False))
-        return _settle_rows(rest[base], known, threshold, method, grow=False)
-
-    undecided = settle(entries.select(*base))
-    decided: list[DataFrame] = []
+        known = leaders.sort_values("ord")[base].itertuples(index=False)
+        rest = rest.sort_values("ord", ignore_index=True)
+        found = _walk(rest[base].itertuples(index=False), known, threshold, method, grow=False)
+        score = [float("nan") if v[3] is None else v[3] for v in found]
+        return rest[base].assign(kept_ord=[v[1] for v in found], kind=[v[2] for v in found], similarity=score)
+
+    undecided = entries.select(*base)
+    removed: list[DataFrame] = []
     first = Window.partitionBy(*BLOCK).orderBy("ord")
     while True:
-        # The rank filter becomes a group limit in every task before the shuffle.
+        # The rank filter becomes a group limit in every task before the
+        # shuffle, so a block is at most ROUND_ROWS entries here; a block with
+        # a single entry has nothing to compare.
         front = undecided.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") <= ROUND_ROWS)
-        settled = settle(front.groupBy(*BLOCK).applyInPandas(lead, schema_out))
-        decided.append(settled)
+        blocks = front.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("ord", "id", "cname", "text"))).alias("e"))
+        walked = spread(blocks.where(F.size("e") > 1), *BLOCK).withColumn("v", lead("e"))
+        settled = settle(walked.select(*BLOCK, F.inline(F.arrays_zip("e", "v"))).select(*BLOCK, "e.*", "v.kept_ord", "v.kind", "v.similarity"))
+        removed.append(settled.where(F.col("kind") != "kept"))
         # The last entry of a full front tells where the rest of its block begins.
         reach = settled.groupBy(*BLOCK).agg(F.max("ord").alias("__last"), F.count("*").alias("__n"))
-        open_blocks = reach.where(F.col("__n") == ROUND_ROWS).select(
-            *[F.col(b).alias(f"__{b}") for b in BLOCK], "__last"
-        )
-        later = reduce(lambda a, b: a & b, [F.col(b) == F.col(f"__{b}") for b in BLOCK]) & (
-            F.col("ord") > F.col("__last")
-        )
-        rest = undecided.join(open_blocks, later).drop("__last", *[f"__{b}" for b in BLOCK])
-        sizes = rest.groupBy(*BLOCK).agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("__salts"))
-        sizes = settle(sizes)
-        if sizes.isEmpty():
+        full = reach.where(F.col("__n") == ROUND_ROWS).drop("__n")
+        if full.isEmpty():
             break
+        renamed = full.withColumnsRenamed({b: f"__{b}" for b in BLOCK})
+        later = reduce(lambda a, b: a & b, [F.col(b) == F.col(f"__{b}") for b in BLOCK])
+        rest = settle(undecided.join(renamed, later & (F.col("ord") > F.col("__last"))).select(*base))
+        sizes = settle(rest.groupBy(*BLOCK).agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("__salts")))
         salted = rest.join(sizes, BLOCK).withColumn("__salt", F.pmod(F.xxhash64("ord"), "__salts").cast("int"))
         leaders = (
             settled.where(F.col("kind") == "kept")
@@ -249,15 +286,17 @@ def resolve_entries(entries: DataFrame, threshold: float, method: str = "ratio")
             .select(*base, F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt"))
         )
         swept = settle(
-            salted.groupBy(*BLOCK, "__salt")
-            .cogroup(leaders.groupBy(*BLOCK, "__salt"))
-            .applyInPandas(sweep, schema_out)
+            spread(salted, *BLOCK, "__salt")
+            .groupBy(*BLOCK, "__salt")
+            .cogroup(spread(leaders, *BLOCK, "__salt").groupBy(*BLOCK, "__salt"))
+            .applyInPandas(sweep, f"{ENTRY}, text {text_type}, kept_ord bigint, kind string, similarity double")
         )
-        decided.append(swept.where(F.col("kind") != "open"))
-        undecided = settle(swept.where(F.col("kind") == "open").select(*base))
+        removed.append(swept.where(F.col("kind") != "open"))
+        undecided = swept.where(F.col("kind") == "open").select(*base)
         if undecided.isEmpty():
             break
-    return reduce(DataFrame.unionByName, decided).drop("text")
+    score = F.when(~F.isnan("similarity"), F.col("similarity"))
+    return reduce(DataFrame.unionByName, removed).select("ord", "kept_ord", "kind", score.alias("similarity"))
 
 
 def duplicate_log(
@@ -266,49 +305,49 @@ def duplicate_log(
     """One row per removed row: how, by which row, with which similarity.
 
     ``method`` is ``ratio`` (default), ``levenshtein``, ``tfidf``, or ``exact``
-    for equal ids and names only.
+    for equal ids and names only. The wide rows are read once, into a slim
+    table of signature, block, id and name.
     """
-    full = exact_duplicates(df, key)
-    unique = drop_exact_duplicates(df, key)
-    rows = in_blocks(unique, digits).select(
-        F.col(key).alias("ord"), *BLOCK, F.col("id").cast("bigint").alias("id"), clean_name().alias("cname")
+    signature = row_signature(df, compared_columns(df, key)).alias("sig")
+    slim = settle(
+        df.withColumns(block_columns(df, digits)).select(
+            F.col(key).cast("bigint").alias("ord"),
+            signature,
+            *[F.col(b).cast(t).alias(b) for b, t in zip(BLOCK, ("bigint", "double", "double"), strict=True)],
+            F.col("id").cast("bigint").alias("id"),
+            clean_name().alias("cname"),
+        )
     )
-    folded = rows.groupBy(*BLOCK, "cname", "id").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
-    # Blocks with one entry need no comparing.
-    crowded = folded.groupBy(*BLOCK).agg(F.count("*").alias("__entries")).where(F.col("__entries") > 1)
-    several = folded.join(crowded.drop("__entries"), BLOCK, "left_semi")
+    same = [*BLOCK, "id", "cname"]
+    # One row per distinct full row; its copies agree on every column.
+    unique = slim.groupBy("sig", *same).agg(F.min("ord").alias("ord")).drop("sig")
+    rows = unique.where(reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in BLOCK]))
+    entries = rows.groupBy(*same).agg(F.min("ord").alias("ord"))
     if method == "tfidf":
-        entries = several.join(name_weights(rows, F.col("cname")).withColumnRenamed("weights", "text"), "cname")
+        weights = name_weights(rows.select("cname"), F.col("cname"))
+        entries = entries.join(weights.withColumnRenamed("weights", "text"), "cname")
     else:
-        entries = several.withColumn("text", F.col("cname"))
-    limit = 2.0 if method == "exact" else threshold
-    entries = entries.withColumns({c: F.col(c).cast(t) for c, t in (("block_host", "bigint"), ("ord", "bigint"))})
-    decided = resolve_entries(entries, limit, "ratio" if method == "exact" else method)
-    removed_entries = decided.where(F.col("kind") != "kept").select(
-        "ord", F.col("kept_ord").alias("retained_key"), "kind", F.when(~F.isnan("similarity"), F.col("similarity")).alias("similarity")
-    )
-    first_log = removed_entries.select(F.col("ord").alias("removed_key"), "retained_key", "kind", "similarity")
-
-    # Rows folded behind an entry: removed by the entry itself when it is kept,
-    # else by whatever removed the entry.
-    copies = folded.where(F.col("n") > 1).withColumnRenamed("ord", "entry_ord")
-    behind = lookup_groups(rows, copies, [*BLOCK, "cname", "id"], "n", how="inner").where(
-        F.col("ord") != F.col("entry_ord")
-    )
-    fate = removed_entries.withColumnRenamed("ord", "__o")
-    later_log = behind.join(fate, F.col("entry_ord") == F.col("__o"), "left").select(
+        entries = entries.withColumn("text", F.col("cname"))
+    gone = resolve_entries(entries, threshold, method)
+
+    # Rows folded behind an entry fall to the entry itself when it is kept,
+    # else to whatever removed the entry.
+    behind = _later_copies(rows, same)
+    fate = gone.withColumnRenamed("ord", "__entry")
+    folded = behind.join(fate, F.col("retained_key") == F.col("__entry"), "left").select(
         F.col("ord").alias("removed_key"),
-        F.coalesce("retained_key", "entry_ord").alias("retained_key"),
+        F.coalesce("kept_ord", "retained_key").alias("retained_key"),
         F.coalesce("kind", F.lit("exact")).alias("kind"),
         "similarity",
     )
-    full_log = full.select(
-        F.col(key).alias("removed_key"),
+    copies = _later_copies(slim.select("ord", "sig"), ["sig"]).select(
+        F.col("ord").alias("removed_key"),
         "retained_key",
         F.lit("exact_full_row").alias("kind"),
         F.lit(1.0).alias("similarity"),
     )
-    return full_log.unionByName(first_log).unionByName(later_log)
+    direct = gone.select(F.col("ord").alias("removed_key"), F.col("kept_ord").alias("retained_key"), "kind", "similarity")
+    return copies.unionByName(direct).unionByName(folded)
 
 
 def deduplicate(

@@ -40,6 +40,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` over all shuffle partitions.
+
+    For stages that compute much per byte: adaptive execution would otherwise
+    merge small inputs into few tasks. A grouping by the same keys reuses it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back.
 
