@@ -288,7 +288,7 @@ def resolve_entries(entries: DataFrame, threshold: float, method: str = "ratio")
         swept = settle(
             spread(salted, *BLOCK, "__salt")
             .groupBy(*BLOCK, "__salt")
-            .cogroup(spread(leaders, *BLOCK, "__salt").groupBy(*BLOCK, "__salt"))
+            .cogroup(spread(leaders.toDF(*leaders.columns), *BLOCK, "__salt").groupBy(*BLOCK, "__salt"))
             .applyInPandas(sweep, f"{ENTRY}, text {text_type}, kept_ord bigint, kind string, similarity double")
         )
         removed.append(swept.where(F.col("kind") != "open"))
