@@ -41,7 +41,7 @@ CATEGORIES = {
     "pool_or_hot_tub": [r"\bpool\b", r"\bhot tub\b"],
 }
 # Characters replaced before normalization.
-REPLACED = {"�": "'", "–": "-", "—": "-", " ": " ", "\xa0": " "}
+REPLACED = {"\ufffd": "'", "\u2013": "-", "\u2014": "-", "\u202f": " ", "\xa0": " "}
 
 STRICT_JSON = {"allowSingleQuotes": "false"}
 

@@ -1,0 +1,23 @@
+"""Row-local operators on a streaming DataFrame.
+
+Rules with fixed limits and the text classes look at one row at a time, so the
+batch functions run on a stream unchanged: no state, no watermark.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+from plumbline.operators import rules, textquality
+
+
+def stream_violations(stream: DataFrame, key: str, row_id: str = "id") -> DataFrame:
+    """Violation log of the standard rules for arriving rows."""
+    return rules.rule_violations(stream, key, row_id)
+
+
+def stream_text_issues(stream: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Non-genuine text cells of arriving rows."""
+    return textquality.text_issues(textquality.classify_text(stream, key, columns))
