@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.numeric import count_where
 from plumbline.functions.text import strip
@@ -44,9 +45,10 @@ CATEGORIES = {
 REPLACED = {"\ufffd": "'", "\u2013": "-", "\u2014": "-", "\u202f": " ", "\xa0": " "}
 
 STRICT_JSON = {"allowSingleQuotes": "false"}
+ITEMS = T.ArrayType(T.StringType())
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ITEMS)
 def literal_items(texts: pd.Series) -> pd.Series:
     """Items of a Python literal; null where the text is none. Only texts that are not JSON arrive."""
 
@@ -62,7 +64,7 @@ def literal_items(texts: pd.Series) -> pd.Series:
     return texts.map(parse)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ITEMS)
 def normalized_items(items: pd.Series) -> pd.Series:
     """Replaced characters and compatibility forms. Only lists with non-ASCII text arrive."""
     table = str.maketrans(REPLACED)
