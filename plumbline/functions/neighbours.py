@@ -243,7 +243,9 @@ def nearest(
     spark = points.sparkSession
     source = settle(points.select(F.col(key).cast("bigint").alias("key"), *[F.col(f).cast("double") for f in features]))
     rows = source.count()
-    boxes = int(min(MAX_BOXES, max(1, rows // box_rows)))
+    # Small tables still get enough boxes to keep every core busy.
+    busy = min(2 * spark.sparkContext.defaultParallelism, rows // LOCAL_ROWS)
+    boxes = int(min(MAX_BOXES, max(1, rows // box_rows, busy)))
     wanted = max(boxes * SAMPLE_PER_BOX, PIVOT_ROWS)
     # The sample is bounded by MAX_BOXES * SAMPLE_PER_BOX rows; it shapes the boxes, not the result.
     every = max(1, rows // wanted)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, count_where, percent
 from plumbline.functions.text import strip
+from plumbline.operators.profile import column_profile
 
 # Column names that hold personal data, with their category.
 PII_COLUMNS = {
@@ -48,6 +49,16 @@ def pii_columns(df: DataFrame, names: Mapping[str, str] = PII_COLUMNS) -> DataFr
     return df.sparkSession.createDataFrame(found, "column string, category string, required boolean")
 
 
+def pii_profile(df: DataFrame, key: str, names: Mapping[str, str] = PII_COLUMNS) -> DataFrame:
+    """The personal-data columns with their present and distinct values."""
+    found = pii_columns(df, names)
+    held = df.select(key, *[c for c in df.columns if c.lower() in names])
+    # One row per column on both sides.
+    return column_profile(held, key).join(F.broadcast(found), "column").select(
+        "column", "category", "required", "non_null_count", "unique_count"
+    )
+
+
 def required_pii_present(df: DataFrame, required: Sequence[str] = REQUIRED_PII) -> bool:
     return set(required) <= {c.lower() for c in df.columns}
 
