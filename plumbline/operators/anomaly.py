@@ -35,9 +35,12 @@ MODELS = ["isolation_forest", "local_outlier_factor", "autoencoder"]
 
 
 def scaled_features(df: DataFrame, key: str, features: Sequence[str] = FEATURES) -> DataFrame:
-    """``(key, z_<feature>...)``: nulls at the median, then zero mean and unit population deviation."""
+    """``(key, z_<feature>...)``: nulls at the median, then zero mean and unit population deviation.
+
+    The features are settled first: medians, moments and the scaled values read them again.
+    """
     require_columns(df, features)
-    raw = df.select(F.col(key).alias("key"), *[as_double(df, f, currency=True).alias(f) for f in features])
+    raw = settle(df.select(F.col(key).alias("key"), *[as_double(df, f, currency=True).alias(f) for f in features]))
     medians = attach(raw, quantile_row(raw, list(features), {"m": 0.5}), "__m")
     filled = medians.select("key", *[F.coalesce(F.col(f), F.col("__m")[f"{f}_m"]).alias(f) for f in features])
     moments = filled.agg(*[a for f in features for a in (F.avg(f).alias(f"{f}_a"), F.stddev_pop(f).alias(f"{f}_s"))])
@@ -72,12 +75,14 @@ def _grow(pdf: pd.DataFrame, columns: Sequence[str], seed: int) -> pd.DataFrame:
         nodes.append([tree, me, -1, 0.0, -1, -1, depth + average_path(len(rows)), len(x)])
         if parent >= 0:
             nodes[parent][4 + side] = me
-        spans = np.ptp(x[rows], axis=0) if len(rows) > 1 else np.zeros(x.shape[1])
-        if depth >= height or not spans.any():
+        if depth >= height or len(rows) < 2:
+            continue
+        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+        usable = np.flatnonzero(high > low)
+        if not len(usable):
             continue
-        axis = int(draw.choice(np.flatnonzero(spans)))
-        low, high = x[rows, axis].min(), x[rows, axis].max()
-        cut = draw.uniform(low, high)
+        axis = int(usable[int(draw.random() * len(usable))])
+        cut = low[axis] + draw.random() * (high[axis] - low[axis])
         nodes[me][2], nodes[me][3] = axis, cut
         right = x[rows, axis] > cut
         todo += [(rows[~right], depth + 1, me, 0), (rows[right], depth + 1, me, 1)]

@@ -22,14 +22,28 @@ class CleanParams:
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Results of the cleaning job."""
+    """Results of the cleaning job; the reports are planned when asked for."""
 
+    raw: DataFrame
     table: DataFrame
     duplicates: DataFrame
-    log: DataFrame
-    before: DataFrame
-    after: DataFrame
-    delta: DataFrame
+    key: str
+
+    @property
+    def log(self) -> DataFrame:
+        return cleaning_log(self.raw, self.table, self.key)
+
+    @property
+    def before(self) -> DataFrame:
+        return quality.quality_score(self.raw, self.key)
+
+    @property
+    def after(self) -> DataFrame:
+        return quality.quality_score(self.table, self.key)
+
+    @property
+    def delta(self) -> DataFrame:
+        return quality.quality_delta(self.before, self.after)
 
 
 def clean_table(imputed: DataFrame, raw: DataFrame | None = None, key: str = "row_id") -> DataFrame:
@@ -58,13 +72,4 @@ def run_cleaning(raw: DataFrame, key: str = "row_id", params: CleanParams | None
     spec = schema.infer_schema(unique, key)
     imputed = settle(impute.impute_table(unique, key, spec, params.imputation))
     cleaned = settle(clean_table(imputed, raw, key))
-    before = quality.quality_score(raw, key)
-    after = quality.quality_score(cleaned, key)
-    return Cleaned(
-        cleaned,
-        duplicates,
-        cleaning_log(raw, cleaned, key),
-        before,
-        after,
-        quality.quality_delta(before, after),
-    )
+    return Cleaned(raw, cleaned, duplicates, key)

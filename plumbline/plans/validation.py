@@ -14,18 +14,51 @@ from plumbline.session import settle
 
 @dataclass(frozen=True)
 class Validated:
-    """Results of the validation job."""
+    """Results of the validation job; the reports are planned when asked for."""
 
+    table: DataFrame
+    key: str
     issues: DataFrame
-    health: DataFrame
-    rows: DataFrame
-    master_log: DataFrame
-    severities: DataFrame
-    rule_summary: DataFrame
-    anomaly_overlap: DataFrame | None
-    text_summary: DataFrame
-    list_metrics: DataFrame | None
-    drift: DataFrame
+    scores: DataFrame | None
+    rule_list: Sequence[Check] | None = None
+
+    @property
+    def health(self) -> DataFrame:
+        return health.health_score(self.issues, self.table)
+
+    @property
+    def rows(self) -> DataFrame:
+        return health.row_health(self.issues, self.table, self.key)
+
+    @property
+    def master_log(self) -> DataFrame:
+        return health.master_log(self.issues, self.table, self.key)
+
+    @property
+    def severities(self) -> DataFrame:
+        return health.severity_summary(self.issues)
+
+    @property
+    def rule_summary(self) -> DataFrame:
+        return rules.rule_summary(self.table, self.rule_list)
+
+    @property
+    def anomaly_overlap(self) -> DataFrame | None:
+        return None if self.scores is None else anomaly.model_overlap(self.scores)
+
+    @property
+    def text_summary(self) -> DataFrame:
+        return textquality.text_summary(textquality.classify_text(self.table, self.key))
+
+    @property
+    def list_metrics(self) -> DataFrame | None:
+        if "amenities" not in self.table.columns:
+            return None
+        return listfields.list_metrics(listfields.parse_list_field(self.table), self.key)
+
+    @property
+    def drift(self) -> DataFrame:
+        return drift.drift_by_date(self.table, "host_since")
 
 
 def find_issues(
@@ -61,19 +94,7 @@ def run_validation(
     """All findings about ``df`` and the scores built on them."""
     scores = anomaly.anomaly_scores(df, key, contamination=contamination) if with_anomalies else None
     issues = settle(find_issues(df, key, rule_list, scores))
-    parsed = listfields.parse_list_field(df) if "amenities" in df.columns else None
-    return Validated(
-        issues,
-        health.health_score(issues, df),
-        health.row_health(issues, df, key),
-        health.master_log(issues, df, key),
-        health.severity_summary(issues),
-        rules.rule_summary(df, rule_list),
-        anomaly.model_overlap(scores) if scores is not None else None,
-        textquality.text_summary(textquality.classify_text(df, key)),
-        listfields.list_metrics(parsed, key) if parsed is not None else None,
-        drift.drift_by_date(df, "host_since"),
-    )
+    return Validated(df, key, issues, scores, rule_list)
 
 
 def run_evaluation(df: DataFrame, master_log: DataFrame, key: str = "row_id", sample_rows: int | None = 200) -> DataFrame:
