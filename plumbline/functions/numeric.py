@@ -55,6 +55,12 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100.0, digits)
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """Scaled rounding of doubles, exact halves to the even digit."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale
+
+
 def count_where(predicate: Column) -> Column:
     """Rows meeting ``predicate`` (null counts as no)."""
     return F.count(F.when(predicate, F.lit(1)))

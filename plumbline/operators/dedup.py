@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.numeric import as_double
+from plumbline.functions.numeric import as_double, round_half_even
 from plumbline.functions.skew import lookup_groups
 from plumbline.functions.text import SPACE, strip
 from plumbline.operators.normalize import keep_first
@@ -80,8 +80,8 @@ def block_columns(df: DataFrame, digits: int = COORDINATE_DIGITS) -> dict[str, C
     """Block keys; a row with a null key is in no block."""
     return {
         "block_host": F.col("host_id"),
-        "block_lat": F.bround(as_double(df, "latitude"), digits),
-        "block_lon": F.bround(as_double(df, "longitude"), digits),
+        "block_lat": round_half_even(as_double(df, "latitude"), digits),
+        "block_lon": round_half_even(as_double(df, "longitude"), digits),
     }
 
 

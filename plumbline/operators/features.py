@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.numeric import as_double
+from plumbline.functions.numeric import as_double, round_half_even
 from plumbline.operators.normalize import DEFAULT_DATE, DEFAULT_TENURE_DAYS, parse_date
 
 # Codes of the room types.
@@ -63,7 +63,7 @@ def unit_price(
     """Price per unit: null price counts 0, null units count 1, fewer than one counts one."""
     amount = F.coalesce(as_double(df, price, currency=False), F.lit(0.0))
     count: Column = F.coalesce(as_double(df, units), F.lit(1.0)) if units in df.columns else F.lit(1.0)
-    return df.withColumn(out, F.bround(amount / F.greatest(count, F.lit(1.0)), 2))
+    return df.withColumn(out, round_half_even(amount / F.greatest(count, F.lit(1.0)), 2))
 
 
 def transform_table(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.numeric import as_double, is_text, parse_currency
+from plumbline.functions.numeric import as_double, is_text, round_half_even
 from plumbline.functions.quantiles import quantile_row
 from plumbline.functions.text import strip, title_case
 
@@ -51,7 +51,7 @@ def normalize_price(
     fallback = F.coalesce(*fallbacks, F.lit(DEFAULT_PRICE))
     good = F.when(value > 0, value)
     if raw is None or row_id not in raw.columns or row_id not in df.columns or column not in raw.columns:
-        return df.withColumn(column, F.round(F.coalesce(good, fallback), 2))
+        return df.withColumn(column, round_half_even(F.coalesce(good, fallback), 2))
     first_raw = keep_first(raw.select(key, row_id, column), key, [row_id])
     raw_price = price_value(raw, column)
     lookup = first_raw.select(
@@ -65,7 +65,7 @@ def normalize_price(
     joined = df.withColumns({"__need": join_key, "__open": good.isNull()}).join(
         lookup, (F.col("__need") == F.col("__raw_id")) & (F.col("__open") == F.col("__raw")), "left"
     )
-    return joined.withColumn(column, F.round(F.coalesce(good, F.col("__raw_price"), fallback), 2)).drop(
+    return joined.withColumn(column, round_half_even(F.coalesce(good, F.col("__raw_price"), fallback), 2)).drop(
         "__need", "__open", "__raw_id", "__raw", "__raw_price"
     )
 

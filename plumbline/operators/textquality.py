@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import percent
@@ -23,33 +23,35 @@ SINGLE_WORDS = ["apartment", "house", "studio", "room", "listing"]
 TEXT_COLUMNS = ["description", "neighborhood_overview"]
 
 
-def text_quality(column: str) -> Column:
-    """Struct of category, confidence, word and character counts and lexical diversity."""
-    stripped = strip(F.col(column))
-    parts = words(stripped)
-    count = F.size(parts)
-    lower = F.lower(stripped)
-    bare = strip(F.regexp_replace(lower, NOT_WORD_OR_SPACE, ""))
-    missing = F.col(column).isNull() | (stripped == "")
+def with_text_quality(df: DataFrame, column: str) -> DataFrame:
+    """Add category, confidence, word and character counts and lexical diversity.
+
+    Worked out in steps, so that each regular expression runs once per text.
+    """
+    step = df.withColumn("__s", strip(F.col(column)))
+    step = step.withColumns({"__low": F.lower("__s"), "__words": F.size(words(F.col("__s")))})
+    step = step.withColumn("__bare", strip(F.regexp_replace("__low", NOT_WORD_OR_SPACE, "")))
+    count, lower, bare = F.col("__words"), F.col("__low"), F.col("__bare")
+    missing = F.col(column).isNull() | (F.col("__s") == "")
+    placeholder = bare.rlike(PLACEHOLDER_PATTERN) | lower.rlike(PLACEHOLDER_PATTERN)
     single = (count == 1) & ((F.length(bare) < 15) | bare.isin(SINGLE_WORDS))
-    short = (count <= 5) | (F.length(stripped) < 25)
-    case = F.when(missing, 0).when(bare.rlike(PLACEHOLDER_PATTERN) | lower.rlike(PLACEHOLDER_PATTERN), 1)
-    case = case.when(single, 2).when(short, 3).otherwise(4)
+    short = (count <= 5) | (F.length("__s") < 25)
+    case = F.when(missing, 0).when(placeholder, 1).when(single, 2).when(short, 3).otherwise(4)
+    step = step.withColumn("__case", case)
+    names = F.array(*[F.lit(c) for c in (MISSING, PLACEHOLDER, PLACEHOLDER, NEAR_EMPTY, GENUINE)])
+    scores = F.array(*[F.lit(c) for c in (0.0, 0.05, 0.10, 0.35)])
+    long_text = F.least(F.lit(1.0), F.round(0.5 + count / 100.0 * 0.5, 3))
+    found = F.col("__case")
     distinct = F.size(F.array_distinct(words(lower)))
-    return F.struct(
-        F.element_at(F.array(*[F.lit(c) for c in (MISSING, PLACEHOLDER, PLACEHOLDER, NEAR_EMPTY, GENUINE)]), case + 1).alias(
-            "category"
-        ),
-        F.when(case == 0, 0.0)
-        .when(case == 1, 0.05)
-        .when(case == 2, 0.10)
-        .when(case == 3, 0.35)
-        .otherwise(F.least(F.lit(1.0), F.round(0.5 + count / 100.0 * 0.5, 3)))
-        .alias("confidence"),
-        F.when(missing, 0).otherwise(count).cast("bigint").alias("word_count"),
-        F.when(missing, 0).otherwise(F.length(stripped)).cast("bigint").alias("char_count"),
-        F.when(case == 4, F.round(distinct / count, 3)).alias("lexical_diversity"),
-    )
+    return step.withColumns(
+        {
+            "category": F.element_at(names, found + 1),
+            "confidence": F.when(found == 4, long_text).otherwise(F.get(scores, found)),
+            "word_count": F.when(found == 0, 0).otherwise(count).cast("bigint"),
+            "char_count": F.when(found == 0, 0).otherwise(F.length("__s")).cast("bigint"),
+            "lexical_diversity": F.when(found == 4, F.round(distinct / count, 3)),
+        }
+    ).drop("__s", "__low", "__words", "__bare", "__case")
 
 
 def classify_text(df: DataFrame, key: str | Sequence[str], columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
@@ -57,11 +59,9 @@ def classify_text(df: DataFrame, key: str | Sequence[str], columns: Sequence[str
     keys = [key] if isinstance(key, str) else list(key)
     parts = []
     for c in columns:
-        source = df if c in df.columns else df.withColumn(c, F.lit(None).cast("string"))
-        parts.append(
-            source.select(*keys, F.lit(c).alias("column"), F.col(c).alias("text"), text_quality(c).alias("q"))
-        )
-    return reduce(DataFrame.unionByName, parts).select(*keys, "column", "text", "q.*")
+        text = F.col(c) if c in df.columns else F.lit(None).cast("string")
+        parts.append(with_text_quality(df.select(*keys, F.lit(c).alias("column"), text.alias("text")), "text"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def text_summary(classified: DataFrame) -> DataFrame:

@@ -406,8 +406,8 @@ MEDIAN_PRICE = "(SELECT median(p) FROM {0} WHERE p > 0)"
 
 def price_sql(source: str) -> str:
     return (
-        f"round(coalesce(CASE WHEN p > 0 THEN p END, CASE WHEN rp > 0 THEN rp END, {MEDIAN_PRICE.format(source)}, "
-        f"{MEDIAN_PRICE.format('parsed')}, 100.0), 2)"
+        f"(round_even(coalesce(CASE WHEN p > 0 THEN p END, CASE WHEN rp > 0 THEN rp END, {MEDIAN_PRICE.format(source)}, "
+        f"{MEDIAN_PRICE.format('parsed')}, 100.0) * 100.0, 0) / 100.0)"
     )
 
 
@@ -463,14 +463,7 @@ ORACLE_SQL["tenure_days"] = f"{LISTINGS} SELECT row_id, {TENURE} AS host_tenure_
 
 
 def unit_price_sql(price: str) -> str:
-    """Cents over whole units, halves to the even cent."""
-    cents = f"CAST(round({price} * 100) AS BIGINT)"
-    units = "CAST(greatest(coalesce(bedrooms, 1.0), 1.0) AS BIGINT)"
-    whole, rest = f"{cents} // {units}", f"{cents} % {units}"
-    return (
-        f"CAST({whole} + CASE WHEN 2 * ({rest}) < {units} THEN 0 WHEN 2 * ({rest}) > {units} THEN 1 "
-        f"ELSE ({whole}) % 2 END AS DOUBLE) / 100.0"
-    )
+    return f"round_even({price} / greatest(coalesce(bedrooms, 1.0), 1.0) * 100.0, 0) / 100.0"
 
 
 ORACLE_SQL["unit_price"] = (
