@@ -29,7 +29,7 @@ from plumbline.session import settle, spread
 
 BOX_ROWS = 20_000  # rows aimed at per box
 TILE_ROWS = 100_000  # most rows of a box handled by one task
-VISITOR_ROWS = 100_000  # most visiting rows handled by one task
+VISITOR_ROWS = 5_000  # visiting rows per task: this, or twice the rows of the box if that is more
 MAX_BOXES = 16_384
 SAMPLE_PER_BOX = 20
 PIVOT_ROWS = 1_000
@@ -73,8 +73,6 @@ class BoxTree:
 def box_tree(sample: np.ndarray, boxes: int) -> BoxTree:
     """Split a sample into about ``boxes`` boxes of equal size, widest axis first."""
     p = sample.shape[1]
-    with np.errstate(all="ignore"):
-        spread = np.array([np.nanstd(c) if np.isfinite(c).any() else 0.0 for c in sample.T])
     axis, cut, child, low, high = [], [], [], [], []
 
     def leaf(node: int, lo: np.ndarray, hi: np.ndarray) -> None:
@@ -91,14 +89,17 @@ def box_tree(sample: np.ndarray, boxes: int) -> BoxTree:
         child.append([0, 0, 0])
         if parent >= 0:
             child[parent][side] = node
-        split = _best_split(sample[rows], spread, lo) if share > 1 else None
+        split = _best_split(sample[rows], lo) if share > 1 else None
         if split is None:
             leaf(node, lo, hi)
             continue
         j, at = split
         axis[node], cut[node] = j, at
         column = sample[rows, j]
-        for s, mask in enumerate((column <= at, column > at, np.isnan(column))):
+        sides = [column <= at, column > at]
+        if np.isneginf(lo[j]) and np.isposinf(hi[j]):
+            sides.append(np.isnan(column))  # below a first split the column is never null
+        for s, mask in enumerate(sides):
             nlo, nhi = lo.copy(), hi.copy()
             if s == 0:
                 nhi[j] = at
@@ -111,17 +112,17 @@ def box_tree(sample: np.ndarray, boxes: int) -> BoxTree:
     return BoxTree(np.array(axis), np.array(cut), np.array(child), np.array(low), np.array(high))
 
 
-def _best_split(points: np.ndarray, spread: np.ndarray, lo: np.ndarray) -> tuple[int, float] | None:
+def _best_split(points: np.ndarray, lo: np.ndarray) -> tuple[int, float] | None:
     best, found = 0.0, None
     for j in range(points.shape[1]):
         column = points[:, j]
         column = column[~np.isnan(column)]
-        if len(column) < 2 or spread[j] == 0 or np.isnan(lo[j]):
+        if len(column) < 2 or np.isnan(lo[j]):
             continue
         top = column.max()
         if top == column.min():
             continue
-        width = column.std() / spread[j]
+        width = column.std()
         if width > best:
             at = np.median(column)
             if at >= top:
@@ -134,16 +135,17 @@ def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Null-aware Euclidean distances; infinite where no coordinate is shared."""
     p = queries.shape[1]
     total = np.zeros((len(queries), len(points)))
-    blank = np.isnan(queries).any() or np.isnan(points).any()
-    shared = np.zeros_like(total) if blank else None
+    known_q, known_x = ~np.isnan(queries), ~np.isnan(points)
+    blank = not (known_q.all() and known_x.all())
     for j in range(p):
-        d = queries[:, j, None] - points[None, :, j]
+        # A null coordinate leaves nothing to add.
+        d = np.nan_to_num(queries[:, j, None]) - np.nan_to_num(points[None, :, j])
+        d *= d
         if blank:
-            known = ~np.isnan(d)
-            shared += known
-            d = np.where(known, d, 0.0)
-        total += d * d
+            d *= known_q[:, j, None] & known_x[None, :, j]
+        total += d
     if blank:
+        shared = known_q.astype(float) @ known_x.T.astype(float)
         with np.errstate(divide="ignore", invalid="ignore"):
             total = np.where(shared > 0, total * (p / shared), np.inf)
     return np.sqrt(total)
@@ -273,8 +275,8 @@ def nearest(
 
     placed = source.mapInPandas(place, T.StructType([*fields, T.StructField("box", T.IntegerType())]))
     # At most a few times MAX_BOXES rows: one per box.
-    filled = placed.groupBy("box").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles")).collect()
-    tiles = spark.createDataFrame([(r["box"], r["tiles"]) for r in filled], "box int, tiles int")
+    filled = {r["box"]: r["n"] for r in placed.groupBy("box").agg(F.count("*").alias("n")).collect()}
+    tiles = spark.createDataFrame([(b, -(-n // TILE_ROWS)) for b, n in filled.items()], "box int, tiles int")
     tiled = placed.join(F.broadcast(tiles), "box").withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
 
     def bound_in_tile(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -319,8 +321,14 @@ def nearest(
             T.StructType([*fields, T.StructField("radius", T.DoubleType()), T.StructField("box", T.IntegerType())]),
         )
     )
-    crowd = visits.groupBy("box").agg(F.ceil(F.count("*") / VISITOR_ROWS).cast("int").alias("parts")).collect()
-    parts = spark.createDataFrame([(r["box"], r["parts"]) for r in crowd], "box int, parts int")
+    # A hot box is met in parts; each part brings the rows of a tile once more.
+    crowd = visits.groupBy("box").agg(F.count("*").alias("n")).collect()
+    sizes = [
+        (r["box"], -(-r["n"] // max(VISITOR_ROWS, 2 * min(filled[r["box"]], TILE_ROWS))))
+        for r in crowd
+        if r["box"] in filled
+    ]
+    parts = spark.createDataFrame(sizes, "box int, parts int")
     # Both tables have one row per box; inner joins leave out empty boxes.
     arriving = (
         visits.join(F.broadcast(tiles), "box")
