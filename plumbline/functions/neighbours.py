@@ -33,7 +33,7 @@ VISITOR_ROWS = 5_000  # visiting rows per task: this, or twice the rows of the b
 MAX_BOXES = 16_384
 SAMPLE_PER_BOX = 20
 PIVOT_ROWS = 1_000
-LOCAL_ROWS = 512  # rows per box of the tree inside one tile
+LOCAL_ROWS = 128  # rows per box of the tree inside one tile
 
 
 @dataclass(frozen=True)
@@ -191,7 +191,7 @@ def search(
             near = members[box]
             if len(near) >= k:
                 d = _masked(queries[who], query_keys[who], points[near], point_keys[near])
-                limit = np.minimum(limit, _kth(d, wants[who], offers[near], k))
+                limit = np.minimum(limit, _kth(d, wants[who], offers[near], k).max(axis=1))
             boxes = np.flatnonzero(tree.touched(queries[who], limit).any(axis=0))
             if not len(boxes):
                 continue
@@ -214,15 +214,14 @@ def _masked(queries: np.ndarray, query_keys: np.ndarray, points: np.ndarray, poi
 
 
 def _kth(d: np.ndarray, wants: np.ndarray, offers: np.ndarray, k: int) -> np.ndarray:
-    """Largest k-th distance over the wanted targets; infinite when one lacks k points."""
-    out = np.zeros(len(d))
+    """k-th distance per wanted target (0 where unwanted); infinite where there are fewer points."""
+    out = np.zeros(wants.shape)
     for t in range(wants.shape[1]):
         asking = wants[:, t]
         if not asking.any():
             continue
         serving = np.where(offers[:, t][None, :], d[asking], np.inf)
-        kth = np.partition(serving, k - 1, axis=1)[:, k - 1] if serving.shape[1] >= k else np.inf
-        out[asking] = np.maximum(out[asking], kth)
+        out[asking, t] = np.partition(serving, k - 1, axis=1)[:, k - 1] if serving.shape[1] >= k else np.inf
     return out
 
 
@@ -246,7 +245,7 @@ def nearest(
     source = settle(points.select(F.col(key).cast("bigint").alias("key"), *[F.col(f).cast("double") for f in features]))
     rows = source.count()
     # Small tables still get enough boxes to keep every core busy.
-    busy = min(2 * spark.sparkContext.defaultParallelism, rows // LOCAL_ROWS)
+    busy = min(2 * spark.sparkContext.defaultParallelism, rows // 500)
     boxes = int(min(MAX_BOXES, max(1, rows // box_rows, busy)))
     wanted = max(boxes * SAMPLE_PER_BOX, PIVOT_ROWS)
     # The sample is bounded by MAX_BOXES * SAMPLE_PER_BOX rows; it shapes the boxes, not the result.
@@ -266,6 +265,7 @@ def nearest(
     def serves(values: np.ndarray) -> np.ndarray:
         return ~np.isnan(values[:, columns]) if columns is not None else np.ones((len(values), 1), dtype=bool)
 
+    pivot_offers = serves(pivots)
     fields = [T.StructField("key", T.LongType()), *[T.StructField(f, T.DoubleType()) for f in features]]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,19 +284,17 @@ def nearest(
         x, keys = pdf[features].to_numpy(dtype=float), pdf["key"].to_numpy()
         want = needs(x)
         asking = np.flatnonzero(want.any(axis=1))
-        radius = np.zeros(len(asking))
-        found = np.zeros((len(asking), want.shape[1]), dtype=bool)
-        endless = np.full(len(asking), np.inf)
-        for who, t, _, d in search(x[asking], keys[asking], want[asking], endless, x, keys, serves(x), k):
-            reach = d.max(axis=1) if d.shape[1] >= k else np.full(len(who), np.inf)
-            radius[who] = np.maximum(radius[who], reach)
-            found[who, t] = True
-        radius[(want[asking] & ~found).any(axis=1)] = np.inf
-        lost = np.flatnonzero(~np.isfinite(radius))
-        for start in range(0, len(lost), 256):
-            who = lost[start : start + 256]
-            d = _masked(x[asking][who], keys[asking][who], pivots, pivot_keys)
-            radius[who] = _kth(d, want[asking][who], serves(pivots), k)
+        # First bound: the k-th distance to a fixed number of sampled rows.
+        reach = np.zeros((len(asking), want.shape[1]))
+        for start in range(0, len(asking), 256):
+            who = asking[start : start + 256]
+            d = _masked(x[who], keys[who], pivots, pivot_keys)
+            reach[start : start + 256] = _kth(d, want[who], pivot_offers, k)
+        seek = (x[asking], keys[asking], want[asking], reach.max(axis=1, initial=0.0))
+        for who, t, _, d in search(*seek, x, keys, serves(x), k):
+            if d.shape[1] >= k:
+                reach[who, t] = np.minimum(reach[who, t], d.max(axis=1))
+        radius = reach.max(axis=1, initial=0.0)
         out = pdf.loc[asking, ["key", *features]].copy()
         out["radius"] = radius
         return out
