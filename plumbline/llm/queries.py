@@ -43,8 +43,8 @@ WITH item_words AS (
 ), found AS (
     SELECT doc_id, item_id, i, d.size FROM doc_windows d JOIN item_windows USING (win)
 ), hit AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit
-    FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM found) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
 ), items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
     FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id
@@ -52,4 +52,4 @@ WITH item_words AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
-""".replace("\\x", "\x")
+"""
