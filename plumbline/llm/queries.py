@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate
+from plumbline.llm import bytebpe, decontaminate, tokencount
 from plumbline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokencount.count_tokens(read_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bytebpe.round_trip(read_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
