@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bytebpe, decontaminate, tokencount
+from plumbline.llm import bytebpe, decontaminate, simhash, tokencount, vectors
 from plumbline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,34 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bytebpe.round_trip(read_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(read_table(spark, sf, "documents")))
+
+
+@query
+def op10_embedding_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
+SQL["op10_embedding_near_duplicates"] = """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
