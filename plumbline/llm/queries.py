@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import bytebpe, decontaminate, simhash, tokencount, vectors
+from plumbline.llm import bytebpe, decontaminate, sharding, simhash, tokencount, urlfilter, vectors
 from plumbline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,44 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
 """
+
+
+URL_RULES = [  # fixed values
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return urlfilter.judge(read_table(spark, sf, "pages"), rules)
+
+
+SQL["op2_url_filter"] = """
+WITH rest AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), rules AS (
+    SELECT *, split_part(rule, '/', 1) AS rule_host, substr(rule, instr(rule, '/')) AS rule_path
+    FROM (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')) v(rule, verdict)
+), best AS (
+    SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)
+"""
+
+
+@query
+def op9_resharding(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", F.col("_metadata.file_path").alias("file"))
+    assigned, _ = sharding.reshard(docs, "file", 40)
+    return sharding.digest(assigned)

@@ -11,10 +11,11 @@ bound reaches the threshold are computed anew from the given numbers in double p
 other pair can reach it.
 
 Vectors are compared only within a label (and length). Equal vectors are one node with a weight,
-so copies cost nothing. Labels are thinned first: a vector goes to the cell of its nearest pivot, and
-to every other cell whose border plane lies within the link distance, so linked vectors share
-the cell of the one with the smaller key. A cell's rows are cut into pairs of tiles, so no task
-holds more than two tiles. A tile returns a count and one link per vector, never its pairs.
+so copies cost nothing. The nodes of a label are dealt into tiles and pairs of tiles, so no task
+holds more than two tiles, however large the label. A tile pair returns a count and one link per
+vector, never its pairs. The products of a label grow with the square of its distinct vectors:
+at a cosine of 0.98 the link distance (0.2) is wider than the spread of a coordinate of
+64-dimensional vectors, so cells by pivots would send each vector nearly everywhere.
 
 Null, zero and non-finite vectors and null labels link with nothing: no links, own component. A
 null vec_id is never the smallest of a component; a component of null ids has a null id.
