@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bytebpe, decontaminate, sharding, simhash, tokencount, urlfilter, vectors
-from plumbline.llm.common import read_table
+from plumbline.llm import bytebpe, decontaminate, langid, sharding, simhash, tokencount, urlfilter, vectors
+from plumbline.llm.common import crc_of_id, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -138,3 +138,14 @@ def op9_resharding(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text", F.col("_metadata.file_path").alias("file"))
     assigned, _ = sharding.reshard(docs, "file", 40)
     return sharding.digest(assigned)
+
+
+def _remainder(divisor: int, value: int):
+    return F.coalesce(crc_of_id("doc_id") % divisor == value, F.lit(False))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    model = langid.train(docs, held_out=_remainder(3, 1))
+    return langid.identify(docs, model).select("doc_id", _remainder(3, 1).alias("held_out"), "lang_pred", "score")
