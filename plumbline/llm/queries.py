@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bytebpe, decontaminate, langid, sharding, simhash, tokencount, urlfilter, vectors
+from plumbline.llm import (
+    bytebpe,
+    decontaminate,
+    langid,
+    sharding,
+    simhash,
+    tokencount,
+    toxicity,
+    urlfilter,
+    vectors,
+)
 from plumbline.llm.common import crc_of_id, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +159,12 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     model = langid.train(docs, held_out=_remainder(3, 1))
     return langid.identify(docs, model).select("doc_id", _remainder(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    model = toxicity.train(docs, read_table(spark, sf, "labels"), held_out=_remainder(5, 0))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", _remainder(5, 0).alias("held_out"), "score", predicted.alias("predicted"))
