@@ -12,6 +12,7 @@ from plumbline.llm import (
     bytebpe,
     decontaminate,
     langid,
+    licenses,
     sharding,
     simhash,
     tokencount,
@@ -168,3 +169,8 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     predicted = (F.col("score") >= 0.5).cast("int")
     return scored.select("doc_id", _remainder(5, 0).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.digest(licenses.scan(read_table(spark, sf, "documents")))
