@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +62,32 @@ def tiled(df: DataFrame, key: list[str], spread: str, rows: int) -> DataFrame:
     ).drop("tiles", "own", "other")
 
 
+def per_group(
+    df: DataFrame, key: list[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """``function`` of the rows of each group, for many small groups: a task streams its groups in order.
+
+    Groups must have a bounded size (see ``tiled``): a task holds one of them beside a batch.
+    """
+
+    def run(batches):
+        rest: pd.DataFrame | None = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            new = np.zeros(len(rows), dtype=bool)
+            for k in key:
+                values = rows[k].to_numpy()
+                new[1:] |= values[1:] != values[:-1]
+            cuts = np.concatenate([[0], np.flatnonzero(new)])
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield function(rows.iloc[a:b])
+            rest = rows.iloc[cuts[-1] :]
+        if rest is not None and len(rest):
+            yield function(rest)
+
+    return df.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, schema)
+
+
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Smallest index that each of 0..n-1 reaches over the pairs (left, right)."""
     root = np.arange(n)
