@@ -4,34 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import settle
 
-def value_splits(totals: DataFrame, group: str, value: str, buckets: int | None = None) -> dict[str, list[float]]:
-    """Equal-depth split points of the values per group: ``buckets - 1`` numbers each."""
-    if buckets is None:
-        buckets = max(8, int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    marks = [i / buckets for i in range(1, buckets)]
-    found = totals.groupBy(group).agg(F.percentile_approx(value, marks, 8 * buckets).alias("s")).collect()
-    return {row[group]: sorted(set(row["s"])) for row in found}
+
+def ranged(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` range-partitioned by ``order``, with the number of the range as ``__bucket``.
+
+    Written to the checkpoint folder, since ranges come from a sample: a row keeps its number.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(df.repartitionByRange(parts, *order).withColumn("__bucket", F.spark_partition_id()))
 
 
 def running_totals(totals: DataFrame, group: str, value: str, measures: Sequence[str]) -> DataFrame:
     """Add ``cum_<measure>`` and ``next_value`` to a table with one row per (group, value).
 
-    ``totals`` should be settled: it is read for the split points and again for
-    the sums, and ``group`` has few members (columns of a table). Values fall
-    into buckets between split points; each bucket is summed by itself and the
-    bucket offsets come from a table with one row per bucket. The result is
-    exact for any split points, they only decide how evenly the work spreads.
+    Values are dealt into ranges; each is summed by itself and the offsets come from a table with
+    one row per group and range. The result is exact wherever the ranges begin.
     """
-    bucket: Column = F.lit(0)
-    splits = value_splits(totals, group, value)
-    for member, points in splits.items():
-        below = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda p: p < F.col(value)))
-        bucket = F.when(F.col(group) == member, below).otherwise(bucket)
-    bucketed = totals.withColumn("__bucket", bucket)
+    bucketed = ranged(totals, group, value)
     inner = Window.partitionBy(group, "__bucket").orderBy(value)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
     per_bucket = bucketed.groupBy(group, "__bucket").agg(
@@ -40,19 +34,30 @@ def running_totals(totals: DataFrame, group: str, value: str, measures: Sequence
     outer = Window.partitionBy(group).orderBy("__bucket")
     before = outer.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        group,
-        "__bucket",
+        F.col(group).alias("__group"),
+        F.col("__bucket").alias("__of"),
         F.lead("__first").over(outer).alias("__next_first"),
         *[F.coalesce(F.sum(f"__t_{m}").over(before), F.lit(0)).alias(f"__o_{m}") for m in measures],
     )
+    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col("__bucket") == F.col("__of"))
     return (
-        # One row per (group member, bucket): a fixed number of buckets.
-        bucketed.join(F.broadcast(offsets), [group, "__bucket"])
+        bucketed.join(offsets, same)
         .withColumns(
             {
                 **{f"cum_{m}": F.sum(m).over(upto) + F.col(f"__o_{m}") for m in measures},
                 "next_value": F.coalesce(F.lead(value).over(inner), F.col("__next_first")),
             }
         )
-        .drop("__bucket", "__next_first", *[f"__o_{m}" for m in measures])
+        .drop("__bucket", "__group", "__of", "__next_first", *[f"__o_{m}" for m in measures])
     )
+
+
+def numbered(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Rows of distinct values with their rank from 0, counted range by range."""
+    bucketed = ranged(df, column)
+    before = Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = bucketed.groupBy(F.col("__bucket").alias("__of")).agg(F.count("*").alias("__n"))
+    offsets = offsets.select("__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy(column)) - 1 + F.col("__before")
+    joined = bucketed.join(offsets, F.col("__bucket") == F.col("__of"))
+    return joined.withColumn(out, rank.cast("bigint")).drop("__bucket", "__of", "__before")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import reduce
 
@@ -35,6 +36,11 @@ from plumbline.session import settle, spread
 THRESHOLD = 0.50
 COORDINATE_DIGITS = 4
 
+SIGNATURE_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 ROUND_ROWS = 256
 SALT_ROWS = 4_096
 
@@ -44,8 +50,13 @@ def compared_columns(df: DataFrame, key: str) -> list[str]:
 
 
 def row_signature(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 of the row's cells; nulls count as equal."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+    """SHA-256 of the row's cells; nulls count as equal, as do 0.0 and -0.0.
+
+    Timestamps keep their microseconds, also inside arrays and structs.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    cells = [(F.col(c) + 0.0).alias(c) if kinds[c] in ("float", "double") else F.col(c) for c in columns]
+    return F.sha2(F.to_json(F.struct(*cells), SIGNATURE_FORMATS), 256)
 
 
 def exact_duplicates(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -76,29 +87,44 @@ def clean_name(column: str = "name") -> Column:
     return strip(F.lower(F.coalesce(F.col(column).cast("string"), F.lit("nan"))))
 
 
-def block_columns(df: DataFrame, digits: int = COORDINATE_DIGITS) -> dict[str, Column]:
+@dataclass(frozen=True)
+class Columns:
+    """The columns that are compared; ids and hosts may be numbers or text."""
+
+    id: str = "id"
+    name: str = "name"
+    host: str = "host_id"
+    latitude: str = "latitude"
+    longitude: str = "longitude"
+
+
+def block_columns(
+    df: DataFrame, digits: int = COORDINATE_DIGITS, columns: Columns | None = None
+) -> dict[str, Column]:
     """Block keys; a row with a null key is in no block."""
+    columns = columns or Columns()
     return {
-        "block_host": F.col("host_id"),
-        "block_lat": round_half_even(as_double(df, "latitude"), digits),
-        "block_lon": round_half_even(as_double(df, "longitude"), digits),
+        "block_host": F.col(columns.host),
+        "block_lat": round_half_even(as_double(df, columns.latitude), digits),
+        "block_lon": round_half_even(as_double(df, columns.longitude), digits),
     }
 
 
 BLOCK = ["block_host", "block_lat", "block_lon"]
 
 
-def in_blocks(df: DataFrame, digits: int = COORDINATE_DIGITS) -> DataFrame:
-    blocked = df.withColumns(block_columns(df, digits))
+def in_blocks(df: DataFrame, digits: int = COORDINATE_DIGITS, columns: Columns | None = None) -> DataFrame:
+    blocked = df.withColumns(block_columns(df, digits, columns))
     return blocked.where(reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in BLOCK]))
 
 
-def block_summary(df: DataFrame) -> DataFrame:
+def block_summary(df: DataFrame, columns: Columns | None = None) -> DataFrame:
     """Per block: rows, pairs the row-by-row procedure would look at, and distinct names.
 
     Pairs are counted, not written out.
     """
-    rows = in_blocks(df).groupBy(*BLOCK, clean_name().alias("n")).agg(F.count("*").alias("c"))
+    name = clean_name((columns or Columns()).name)
+    rows = in_blocks(df, columns=columns).groupBy(*BLOCK, name.alias("n")).agg(F.count("*").alias("c"))
     return (
         rows.groupBy(*BLOCK)
         .agg(F.sum("c").alias("block_rows"), F.count("*").alias("distinct_names"))
@@ -198,7 +224,8 @@ def name_weights(df: DataFrame, name: Column) -> DataFrame:
 
 
 Entry = namedtuple("Entry", ["ord", "id", "cname", "text"])
-ENTRY = "block_host bigint, block_lat double, block_lon double, ord bigint, id bigint, cname string"
+# Ids and hosts travel as text: exact in pandas, also beside nulls.
+ENTRY = "block_host string, block_lat double, block_lon double, ord bigint, id string, cname string"
 
 
 def _walk(rows: Iterable, leaders: Iterable, threshold: float, method: str, grow: bool) -> list[tuple]:
@@ -300,7 +327,12 @@ def resolve_entries(entries: DataFrame, threshold: float, method: str = "ratio")
 
 
 def duplicate_log(
-    df: DataFrame, key: str, threshold: float = THRESHOLD, method: str = "ratio", digits: int = COORDINATE_DIGITS
+    df: DataFrame,
+    key: str,
+    threshold: float = THRESHOLD,
+    method: str = "ratio",
+    digits: int = COORDINATE_DIGITS,
+    columns: Columns | None = None,
 ) -> DataFrame:
     """One row per removed row: how, by which row, with which similarity.
 
@@ -308,14 +340,17 @@ def duplicate_log(
     for equal ids and names only. The wide rows are read once, into a slim
     table of signature, block, id and name.
     """
-    signature = row_signature(df, compared_columns(df, key)).alias("sig")
+    columns = columns or Columns()
     slim = settle(
-        df.withColumns(block_columns(df, digits)).select(
+        df.select(
             F.col(key).cast("bigint").alias("ord"),
-            signature,
-            *[F.col(b).cast(t).alias(b) for b, t in zip(BLOCK, ("bigint", "double", "double"), strict=True)],
-            F.col("id").cast("bigint").alias("id"),
-            clean_name().alias("cname"),
+            row_signature(df, compared_columns(df, key)).alias("sig"),
+            *[
+                c.cast(t).alias(b)
+                for (b, c), t in zip(block_columns(df, digits, columns).items(), ("string", "double", "double"), strict=True)
+            ],
+            F.col(columns.id).cast("string").alias("id"),
+            clean_name(columns.name).alias("cname"),
         )
     )
     same = [*BLOCK, "id", "cname"]
@@ -351,20 +386,27 @@ def duplicate_log(
 
 
 def deduplicate(
-    df: DataFrame, key: str, threshold: float = THRESHOLD, method: str = "ratio"
+    df: DataFrame, key: str, threshold: float = THRESHOLD, method: str = "ratio", columns: Columns | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that stay, and the log of the removed ones."""
-    log = settle(duplicate_log(df, key, threshold, method))
+    log = settle(duplicate_log(df, key, threshold, method, columns=columns))
     removed = log.select(F.col("removed_key").alias(key))
     return df.join(removed, key, "left_anti"), log
 
 
-def describe_log(log: DataFrame, df: DataFrame, key: str) -> DataFrame:
+def describe_log(log: DataFrame, df: DataFrame, key: str, columns: Columns | None = None) -> DataFrame:
     """The log with ids, names and place of both rows; joined by unique keys."""
-    facts = df.select(F.col(key).alias("__k"), "id", "name", "host_id", "latitude", "longitude")
-    removed = facts.withColumnsRenamed({"id": "removed_id", "name": "removed_name"})
-    retained = facts.select(
-        F.col("__k").alias("__r"), F.col("id").alias("retained_id"), F.col("name").alias("retained_name")
+    columns = columns or Columns()
+    removed = df.select(
+        F.col(key).alias("__k"),
+        F.col(columns.id).alias("removed_id"),
+        F.col(columns.name).alias("removed_name"),
+        columns.host,
+        columns.latitude,
+        columns.longitude,
+    )
+    retained = df.select(
+        F.col(key).alias("__r"), F.col(columns.id).alias("retained_id"), F.col(columns.name).alias("retained_name")
     )
     return (
         log.join(removed, F.col("removed_key") == F.col("__k"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, count_where
+from plumbline.functions.running import running_totals
 from plumbline.functions.scalars import attach
 from plumbline.functions.text import strip
 from plumbline.operators.errors import MAX_NIGHTS, with_fences
+from plumbline.session import settle
 
 # Fixed values.
 SAMPLE_ROWS = 200
@@ -85,37 +87,37 @@ def evaluation_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
-def roc_points(rows: DataFrame, digits: int = 4) -> DataFrame:
-    """ROC curve: one row per distinct score, from the highest down.
-
-    Scores are counted first and rounded to ``digits``, so the ordered part has
-    at most ``10 ** digits + 1`` rows for scores from 0 to 1.
-    """
-    counts = rows.groupBy(F.round("score", digits).alias("threshold")).agg(
-        count_where(F.col("truth") == 1).alias("pos"), count_where(F.col("truth") != 1).alias("neg")
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Positives and negatives per exact score, their running totals and the totals of all (struct ``t``)."""
+    counts = settle(
+        rows.groupBy((F.col("score") + F.lit(0.0)).alias("threshold")).agg(
+            count_where(F.col("truth") == 1).alias("pos"), count_where(F.col("truth") != 1).alias("neg")
+        )
     )
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    t = F.col("__t")
-    running = attach(
-        counts.select("threshold", "pos", "neg", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp")),
-        totals,
-        "__t",
-    )
-    return running.select(
+    return attach(running_totals(counts.withColumn("curve", F.lit(0)), "curve", "threshold", ["pos", "neg"]), totals, "t")
+
+
+def roc_points(rows: DataFrame) -> DataFrame:
+    """ROC curve: one row per distinct score, as it is."""
+    t = F.col("t")
+    return _ranked(rows).select(
         "threshold",
         "pos",
         "neg",
-        F.try_divide(F.col("fp").cast("double"), t["n"]).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), t["p"]).alias("tpr"),
+        F.try_divide((t["n"] - F.col("cum_neg") + F.col("neg")).cast("double"), t["n"]).alias("fpr"),
+        F.try_divide((t["p"] - F.col("cum_pos") + F.col("pos")).cast("double"), t["p"]).alias("tpr"),
     )
 
 
-def roc_auc(rows: DataFrame, digits: int = 4) -> DataFrame:
-    """Area under the ROC curve by trapezoids; null when a class is empty."""
-    points = roc_points(rows, digits)
-    step = Window.orderBy(F.desc("threshold"))
-    left_x = F.coalesce(F.lag("fpr").over(step), F.lit(0.0))
-    left_y = F.coalesce(F.lag("tpr").over(step), F.lit(0.0))
-    areas = points.select(((F.col("fpr") - left_x) * (F.col("tpr") + left_y) / 2).alias("a"))
-    return areas.agg(F.round(F.sum("a"), 4).alias("roc_auc"))
+def roc_auc(rows: DataFrame) -> DataFrame:
+    """Area under the ROC curve; null when a class is empty.
+
+    Twice the area counts, for every negative, the positives above it twice and those of its own
+    score once, in whole numbers.
+    """
+    above = F.col("t")["p"] - F.col("cum_pos")
+    twice = (F.col("neg") * (2 * above + F.col("pos"))).cast("decimal(38,0)")
+    found = _ranked(rows).agg(F.sum(twice).alias("a"), F.first("t").alias("t"))
+    whole = (F.col("t")["p"] * F.lit(2.0)) * F.col("t")["n"]
+    return found.select(F.round(F.try_divide(F.col("a").cast("double"), whole), 4).alias("roc_auc"))

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, round_half_even
+from plumbline.functions.running import numbered
 from plumbline.operators.normalize import DEFAULT_DATE, DEFAULT_TENURE_DAYS, parse_date
 
 # Codes of the room types.
 ROOM_TYPE_CODES = {"Entire home/apt": 0, "Private room": 1, "Hotel room": 2, "Shared room": 3}
 
-# A label table up to this size is ranked in one task and broadcast.
-LABEL_LIMIT = 100_000
+NULL_TEXT = "nan"
 
 
 def encode_fixed(
@@ -25,20 +25,15 @@ def encode_fixed(
     return df.withColumn(out or f"{column}_encoded", F.coalesce(lookup[F.col(column)], F.lit(0)))
 
 
-def label_codes(df: DataFrame, column: str) -> tuple[DataFrame, bool]:
-    """``(label, code)`` with codes in label order, and whether the table is small."""
-    labels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("label")).distinct()
-    if labels.limit(LABEL_LIMIT + 1).count() <= LABEL_LIMIT:
-        return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("code")), True
-    # Many labels: a range-partitioned sort numbers them without one big task.
-    numbered = labels.orderBy("label").rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    return df.sparkSession.createDataFrame(numbered, "label string, code bigint"), False
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """``(label, code)``: ranks of the distinct texts, where a null has the text ``nan``."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(NULL_TEXT))
+    return numbered(df.select(text.alias("label")).distinct(), "label", "code")
 
 
 def encode_labels(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Rank of the value among the sorted distinct values; null becomes 0."""
-    codes, small = label_codes(df, column)
-    joined = df.join(F.broadcast(codes) if small else codes, F.col(column) == F.col("label"), "left")
+    """Rank of the value's text among the sorted distinct texts; a null takes a rank but gets 0."""
+    joined = df.join(label_codes(df, column), F.col(column).cast("string") == F.col("label"), "left")
     return joined.withColumn(out or f"{column}_encoded", F.coalesce(F.col("code"), F.lit(0)).cast("bigint")).drop(
         "label", "code"
     )

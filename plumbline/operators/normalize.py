@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,20 @@ DAYS_PER_YEAR = 365.25
 DAYS_PER_MONTH = 30.4375
 DEFAULT_TENURE_DAYS = 365
 
+#: Forms of a date in text; parts in brackets may be absent.
+DATE_FORMATS = (
+    "yyyy-MM-dd",
+    "yyyy-MM-dd[' ']['T']HH:mm[:ss][.SSSSSS][.SSS][XXX]",
+    "dd-MM-yyyy",
+    "yyyy/MM/dd",
+    "dd/MM/yyyy",
+    "yyyyMMdd",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+)
+
 
 def keep_first(df: DataFrame, key: str, on: list[str]) -> DataFrame:
     """The first row (by ``key``) of each ``on`` group.
@@ -105,16 +121,19 @@ def standardize_places(
     )
 
 
-def parse_date(df: DataFrame, name: str, day_first: bool) -> Column:
-    """Date of a text column (``dd-MM-yyyy`` when ``day_first``, ISO forms), or of a date column."""
+def parse_date(df: DataFrame, name: str, day_first: bool, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Date of a text column, or of a date column.
+
+    The whole text must have one of ``formats``, tried in order; ``day_first`` puts those that begin
+    with the day in front. Other texts give null.
+    """
     if name not in df.columns:
         return F.lit(None).cast("date")
     if not is_text(df, name):
         return F.col(name).cast("date")
     text = F.trim(F.col(name))
-    iso = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
-    dmy = F.try_to_timestamp(text, F.lit("dd-MM-yyyy")).cast("date")
-    return F.coalesce(dmy, iso) if day_first else F.coalesce(iso, dmy)
+    ordered = sorted(formats, key=lambda f: not f.startswith("d")) if day_first else formats
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in ordered])
 
 
 def parse_dates(

@@ -13,6 +13,7 @@ from plumbline.functions.numeric import as_double, count_where, is_missing, is_n
 from plumbline.functions.quantiles import quantile_row, quantile_table
 from plumbline.functions.scalars import attach
 from plumbline.functions.text import strip
+from plumbline.operators.dedup import row_signature
 
 # Columns of the correlation matrix and of its plotted triangle.
 CORRELATION_COLUMNS = ["price", "minimum_nights", "availability_365", "number_of_reviews"]
@@ -54,7 +55,7 @@ def cells(df: DataFrame, key: str | None = None) -> DataFrame:
 def dataset_summary(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows, columns and copies of earlier rows (``key`` is not compared)."""
     names = _without(df, key)
-    groups = df.groupBy(*names).agg(F.count("*").alias("c"))
+    groups = df.groupBy(row_signature(df, names).alias("sig")).agg(F.count("*").alias("c"))
     total = groups.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows"),

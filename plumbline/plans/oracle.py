@@ -283,6 +283,11 @@ ORACLE_SQL["exact_duplicates"] = (
     f"{LISTINGS} SELECT row_id, retained_key FROM (SELECT row_id, min(row_id) OVER (PARTITION BY {ALL}) AS retained_key "
     "FROM listings) WHERE row_id <> retained_key"
 )
+ORACLE_SQL["exact_duplicates_events"] = " UNION ALL ".join(
+    f"SELECT event_id, retained_key FROM (SELECT event_id, min(event_id) OVER (PARTITION BY {keys}) AS retained_key FROM events) "
+    "WHERE event_id <> retained_key"
+    for keys in ("ts, user_id, event_type", "date_trunc('minute', ts), event_type")
+)
 ORACLE_SQL["key_first"] = (
     f"{LISTINGS} SELECT row_id, id FROM listings QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id) = 1"
 )
@@ -452,7 +457,7 @@ ROOM_CODE = "CASE room_type " + " ".join(f"WHEN '{r}' THEN {i}" for i, r in enum
 ORACLE_SQL["encode_fixed"] = f"{LISTINGS} SELECT row_id, {ROOM_CODE} AS room_type_encoded FROM listings"
 CODES = (
     "codes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM "
-    "(SELECT DISTINCT neighbourhood_group_cleansed AS label FROM {0} WHERE neighbourhood_group_cleansed IS NOT NULL))"
+    "(SELECT DISTINCT coalesce(neighbourhood_group_cleansed, 'nan') AS label FROM {0}))"
 )
 ORACLE_SQL["encode_labels"] = (
     f"{LISTINGS}, {CODES.format('listings')} SELECT row_id, coalesce(code, 0) AS neighbourhood_group_cleansed_encoded "
@@ -1053,15 +1058,15 @@ LABEL_SCORES = (
 )
 ORACLE_SQL["label_metrics"] = f"{LABEL_SCORES}, {metrics_sql('scores')}"
 ORACLE_SQL["roc_points"] = (
-    f"{LABEL_SCORES}, g AS (SELECT round(score, 4) AS threshold, {counted('truth = 1')} AS pos, {counted('truth <> 1')} AS neg "
-    "FROM scores GROUP BY 1) SELECT threshold, pos, neg, "
+    f"{LABEL_SCORES}, g AS (SELECT score AS threshold, {counted('truth = 1')} AS pos, {counted('truth <> 1')} AS neg "
+    "FROM scores GROUP BY 1) SELECT round(threshold, 4) AS threshold, pos, neg, "
     "round(CAST(sum(neg) OVER w AS DOUBLE) / (SELECT sum(neg) FROM g), 4) AS fpr, "
     "round(CAST(sum(pos) OVER w AS DOUBLE) / (SELECT sum(pos) FROM g), 4) AS tpr FROM g "
-    "WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING)"
+    "WINDOW w AS (ORDER BY g.threshold DESC ROWS UNBOUNDED PRECEDING)"
 )
 # Rank sums with average ranks, not trapezoids.
 ORACLE_SQL["roc_auc"] = (
-    f"{LABEL_SCORES}, g AS (SELECT round(score, 4) AS s, count(*) AS n, {counted('truth = 1')} AS pos FROM scores GROUP BY 1), "
+    f"{LABEL_SCORES}, g AS (SELECT score AS s, count(*) AS n, {counted('truth = 1')} AS pos FROM scores GROUP BY 1), "
     "r AS (SELECT pos, sum(n) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - n + (n + 1) / 2.0 AS rank FROM g), "
     "t AS (SELECT CAST(sum(pos) AS DOUBLE) AS p, CAST(sum(n) - sum(pos) AS DOUBLE) AS q FROM g) "
     "SELECT round(((SELECT sum(CAST(pos * rank AS DOUBLE)) FROM r) - p * (p + 1) / 2) / (p * q), 4) AS roc_auc FROM t"

@@ -161,6 +161,15 @@ def exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.exact_duplicates(listings(spark, sf), KEY)
 
 
+@query
+def exact_duplicates_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Copies among events that agree in user, kind and the minute's start or in the full time."""
+    events = table(spark, sf, "events")
+    return dedup.exact_duplicates(events, "event_id", ["ts", "user_id", "event_type"]).unionByName(
+        dedup.exact_duplicates(events.withColumn("ts", F.date_trunc("minute", "ts")), "event_id", ["ts", "event_type"])
+    )
+
+
 @query
 def key_first(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.keep_first(listings(spark, sf), KEY, ["id"]).select(KEY, "id")

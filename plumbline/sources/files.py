@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import snake_case
+from plumbline.session import settle
 
 SPEC_SCHEMA = T.StructType(
     [
@@ -81,20 +82,40 @@ def parquet_or(spark: SparkSession, cache_path: str, build: Callable[[], DataFra
     """The cached Parquet table if it is there, else build and cache it."""
     try:
         return spark.read.parquet(cache_path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         write_parquet(build(), cache_path)
         return spark.read.parquet(cache_path)
 
 
 def with_row_key(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Row key of a file table: the row's position, ordered by file.
+    """Row key of a table read from files: the row's number from 0, by file name and place in the file.
 
-    Spark rows have no order of their own. A table read from files can use the
-    position inside the file, with the file name in front.
+    A block of a file is read by one task in order, so rows are numbered where they are read and only
+    a table with one row per block is ordered. The rows are settled: numbers are given once.
     """
-    return df.select(
-        "*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(name)
+    read = settle(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__place"),
+        )
     )
+    blocks = read.groupBy(F.col("__file").alias("__f"), F.col("__block").alias("__b")).agg(
+        F.min("__place").alias("__first"), F.count("*").alias("__rows")
+    )
+    before = Window.orderBy("__f", "__b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
+    joined = read.join(blocks, (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b")))
+    number = (F.col("__place") - F.col("__first") + F.col("__before")).cast("bigint")
+    return joined.withColumn(name, number).select(*df.columns, name)
+
+
+def is_absent(error: AnalysisException) -> bool:
+    """A path that does not exist, unlike one that can't be read."""
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -130,7 +151,9 @@ def read_spec(spark: SparkSession, path: str) -> DataFrame:
     document = T.StructType([T.StructField("columns", T.MapType(T.StringType(), body))])
     try:
         raw = spark.read.schema(document).json(path, multiLine=True)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         return spark.createDataFrame([], SPEC_SCHEMA)
     return raw.select(F.explode("columns").alias("column", "spec")).select("column", "spec.*")
 
