@@ -8,34 +8,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group is hot when it holds more than 1/HOT_SHARE of all rows, so there are
-# fewer than HOT_SHARE hot groups whatever the size of the data.
-HOT_SHARE = 1000
+from plumbline.session import settle
 
+# A table of at most so many rows is broadcast, after it was counted.
+BROADCAST_ROWS = 50_000
 
-def lookup_groups(
-    rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str, how: str = "left"
-) -> DataFrame:
-    """Join ``rows`` to ``groups`` (one row per key, null keys equal).
 
-    ``groups[size]`` is the number of ``rows`` in the group. Hot groups are
-    broadcast: by counting there are fewer than ``HOT_SHARE`` of them. The
-    others go through an ordinary shuffle join, which then has no hot key.
+def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` settled and counted, marked for broadcast if it has at most ``rows`` rows.
+
+    A larger one takes part in an ordinary shuffle join, whose hot keys adaptive execution splits.
     """
-    total = groups.agg(F.sum(size)).scalar()
-    hot_flag = F.col(size) * HOT_SHARE > total
-    renamed = groups.select(*[F.col(c).alias(f"__g_{c}") if c in on else F.col(c) for c in groups.columns])
-    condition = _same(on)
-    tagged = rows.join(
-        F.broadcast(renamed.where(hot_flag).select(*[f"__g_{c}" for c in on]).withColumn("__hot", F.lit(True))),
-        condition,
-        "left",
-    ).drop(*[f"__g_{c}" for c in on])
+    settled = settle(table)
+    return F.broadcast(settled) if settled.count() <= rows else settled
+
+
+def lookup_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``rows`` to ``groups`` (one row per key, null keys equal); both are read once."""
     extra = [c for c in groups.columns if c not in on]
-    hot = tagged.where(F.col("__hot")).drop("__hot").join(F.broadcast(renamed.where(hot_flag)), condition, "inner")
-    cold = tagged.where(F.col("__hot").isNull()).drop("__hot").join(renamed.where(~hot_flag), condition, how)
-    keep = [*rows.columns, *extra]
-    return hot.select(*keep).unionByName(cold.select(*keep))
+    renamed = groups.select(*[F.col(c).alias(f"__g_{c}") for c in on], *extra)
+    return rows.join(sized(renamed), _same(on), how).select(*rows.columns, *extra)
 
 
 def _same(on: Sequence[str]) -> Column:

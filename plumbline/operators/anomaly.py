@@ -175,7 +175,7 @@ def lof_scores(scaled: DataFrame, columns: Sequence[str], k: int = LOF_NEIGHBOUR
     sizes = scaled.groupBy(*columns).agg(F.count("*").alias("n")).where(F.col("n") > k + 1)
     packed = [*columns]
     later = lookup_groups(
-        scaled.select("key", *columns), sizes.join(last, columns), packed, "n", how="inner"
+        scaled.select("key", *columns), sizes.join(last, columns).drop("n"), packed, how="inner"
     ).select("key", "lof")
     later = later.join(factors.select("key"), "key", "left_anti")
     return factors.unionByName(later)

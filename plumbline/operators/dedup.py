@@ -63,7 +63,7 @@ def exact_duplicates(df: DataFrame, key: str, columns: Sequence[str] | None = No
     """Later copies of equal rows: ``(key, retained_key)``; the first copy is retained.
 
     Signatures are counted before anything is joined and only repeated ones
-    come back, with the hot ones broadcast.
+    come back.
     """
     signature = row_signature(df, columns or compared_columns(df, key))
     signed = df.select(F.col(key).alias("ord"), signature.alias("sig"))
@@ -72,7 +72,7 @@ def exact_duplicates(df: DataFrame, key: str, columns: Sequence[str] | None = No
 
 def _later_copies(rows: DataFrame, on: list[str]) -> DataFrame:
     groups = rows.groupBy(*on).agg(F.min("ord").alias("retained_key"), F.count("*").alias("copies"))
-    found = lookup_groups(rows, groups.where(F.col("copies") > 1), on, "copies", how="inner")
+    found = lookup_groups(rows, groups.where(F.col("copies") > 1), on, how="inner")
     return found.where(F.col("ord") != F.col("retained_key")).select("ord", "retained_key")
 
 
@@ -212,8 +212,8 @@ def name_weights(df: DataFrame, name: Column) -> DataFrame:
         .agg(F.count("*").alias("tf"))
     )
     idf = terms.groupBy("term").agg(F.count("*").alias("df"))
-    idf = idf.select("term", "df", (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = lookup_groups(terms, idf, ["term"], "df", how="inner")
+    idf = idf.select("term", (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighted = lookup_groups(terms, idf, ["term"], how="inner")
     weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
     # One name's own terms only.
     packed = weighted.groupBy("cname").agg(

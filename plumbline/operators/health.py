@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import attach
 from plumbline.operators.anomaly import MODELS
-from plumbline.operators.textquality import MISSING
+from plumbline.operators.issues import Check
+from plumbline.operators.textquality import GENUINE, MISSING, with_text_quality
 
 # Fixed values.
 WEIGHTS = {"CRITICAL": 15.0, "HIGH": 10.0, "MEDIUM": 5.0, "LOW": 2.0}
@@ -75,6 +76,37 @@ def issue_table(
     return table.withColumn("weight", weight(F.col("severity")))
 
 
+def checked_issues(
+    df: DataFrame, key: str, rules: Sequence[Check], errors: Sequence[Check], text_columns: Sequence[str]
+) -> DataFrame:
+    """The issues of rules, errors and texts in one pass over ``df``, in the form of :func:`issue_table`.
+
+    ``df`` has what the checks refer to (the fences, for the errors). All findings of a row are
+    one array, so nothing is joined or read again.
+    """
+    rows, found = df, []
+    for source, checks in (("rule", rules), ("error", errors)):
+        found += [F.when(c.fails, _finding(source, F.lit(c.name), F.lit(c.severity), c.details)) for c in checks]
+    for i, c in enumerate(text_columns):
+        text = F.col(c) if c in df.columns else F.lit(None).cast("string")
+        rows = with_text_quality(rows.withColumn("__text", text), "__text").withColumnsRenamed(
+            {"category": f"__class{i}", "__text": f"__text{i}"}
+        )
+        rows = rows.drop("confidence", "word_count", "char_count", "lexical_diversity")
+        category = F.col(f"__class{i}")
+        severity = F.when(category == MISSING, "MEDIUM").otherwise("LOW")
+        issue = _finding("text", F.concat(F.lit(f"{c}:"), category), severity, F.substring(f"__text{i}", 1, 100))
+        found.append(F.when(category != GENUINE, issue))
+    table = rows.select(F.col(key).alias("row_key"), F.inline(F.array_compact(F.array(*found))))
+    return table.withColumn("weight", weight(F.col("severity")))
+
+
+def _finding(source: str, name: Column, severity: Column, detail: Column) -> Column:
+    return F.struct(
+        F.lit(source).alias("source"), name.alias("name"), severity.alias("severity"), detail.cast("string").alias("detail")
+    )
+
+
 def health_score(issues: DataFrame, base: DataFrame, shares: Mapping[str, float] = SOURCES) -> DataFrame:
     """One row: sub-score per source, overall score and grade."""
     rows = base.agg(F.count("*").alias("n"))

@@ -75,10 +75,11 @@ def normalize_price(
         F.lit(True).alias("__raw"),
         F.when(raw_price > 0, raw_price).alias("__raw_price"),
     ).where(F.col("__raw_price").isNotNull())
-    # Only rows without a good price look anything up. The others join on their
-    # own key, which spreads them evenly and matches nothing.
-    join_key = F.when(good.isNull(), F.col(row_id).cast("string")).otherwise(F.col(key).cast("string"))
-    joined = df.withColumns({"__need": join_key, "__open": good.isNull()}).join(
+    # Only rows with an id and without a good price look anything up. The others join
+    # on their own key, which spreads them evenly and matches nothing.
+    wanting = good.isNull() & F.col(row_id).isNotNull()
+    join_key = F.when(wanting, F.col(row_id).cast("string")).otherwise(F.col(key).cast("string"))
+    joined = df.withColumns({"__need": join_key, "__open": wanting}).join(
         lookup, (F.col("__need") == F.col("__raw_id")) & (F.col("__open") == F.col("__raw")), "left"
     )
     return joined.withColumn(column, round_half_even(F.coalesce(good, F.col("__raw_price"), fallback), 2)).drop(

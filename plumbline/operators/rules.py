@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, is_text, parse_number
+from plumbline.functions.skew import sized
 from plumbline.functions.text import strip
 from plumbline.operators.issues import Check, finding_log, finding_summary
 from plumbline.operators.profile import require_columns
@@ -200,5 +201,5 @@ def unknown_members(df: DataFrame, column: str, reference: DataFrame, reference_
 
     The reference side is distinct; values are compared trimmed and in upper case.
     """
-    allowed = reference.select(F.upper(strip(F.col(reference_column))).alias("__allowed")).distinct()
+    allowed = sized(reference.select(F.upper(strip(F.col(reference_column))).alias("__allowed")).distinct())
     return df.join(allowed, F.upper(strip(F.col(column))) == F.col("__allowed"), "left_anti")

@@ -69,19 +69,17 @@ def find_issues(
     text_columns: Sequence[str] = textquality.TEXT_COLUMNS,
     count_list_issues: bool = False,
 ) -> DataFrame:
-    """The issue table; anomalies take part when their ``scores`` are given."""
-    classified = textquality.classify_text(df, key, text_columns)
-    lists = None
-    if count_list_issues:
-        lists = listfields.list_issues(listfields.parse_list_field(df), key)
-    return health.issue_table(
-        key,
-        rules.rule_violations(df, key, rules=rule_list),
-        errors.statistical_errors(df, key),
-        anomaly.anomaly_rows(df, key, scores=scores) if scores is not None else None,
-        textquality.text_issues(classified),
-        lists,
-    )
+    """The issue table; anomalies take part when their ``scores`` are given.
+
+    Rules, errors and texts are checked in one pass.
+    """
+    checks = rule_list or rules.standard_rules(df)
+    table = health.checked_issues(errors.with_fences(df), key, checks, errors.error_checks(df), text_columns)
+    lists = listfields.list_issues(listfields.parse_list_field(df), key) if count_list_issues else None
+    rows = anomaly.anomaly_rows(df, key, scores=scores) if scores is not None else None
+    if lists is None and rows is None:
+        return table
+    return table.unionByName(health.issue_table(key, anomalies=rows, lists=lists))
 
 
 def run_validation(
