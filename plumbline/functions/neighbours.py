@@ -28,12 +28,12 @@ from pyspark.sql import types as T
 from plumbline.session import settle, spread
 
 BOX_ROWS = 20_000  # rows aimed at per box
-TILE_ROWS = 100_000  # most rows of a box handled by one task
+TILE_ROWS = 20_000  # most rows of a box handled by one task
+QUERY_ROWS = 4_096
 VISITOR_ROWS = 5_000  # visiting rows per task: this, or twice the rows of the box if that is more
 MAX_BOXES = 16_384
 SAMPLE_PER_BOX = 20
-PIVOT_ROWS = 1_000
-LOCAL_ROWS = 128  # rows per box of the tree inside one tile
+PIVOT_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,8 @@ class BoxTree:
             q = points[:, j, None]
             d = np.fmax(np.fmax(self.low[:, j] - q, q - self.high[:, j]), 0.0)
             gap += np.where(np.isnan(d), 0.0, d) ** 2
+        # Two rows share at most the coordinates that the point has.
+        gap *= points.shape[1] / np.maximum((~np.isnan(points)).sum(axis=1), 1)[:, None]
         return gap <= (radius[:, None] ** 2) * (1 + 1e-9) + 1e-12
 
 
@@ -132,96 +134,102 @@ def _best_split(points: np.ndarray, lo: np.ndarray) -> tuple[int, float] | None:
 
 
 def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Null-aware Euclidean distances; infinite where no coordinate is shared."""
-    p = queries.shape[1]
-    total = np.zeros((len(queries), len(points)))
-    known_q, known_x = ~np.isnan(queries), ~np.isnan(points)
-    blank = not (known_q.all() and known_x.all())
-    for j in range(p):
-        # A null coordinate leaves nothing to add.
-        d = np.nan_to_num(queries[:, j, None]) - np.nan_to_num(points[None, :, j])
-        d *= d
-        if blank:
-            d *= known_q[:, j, None] & known_x[None, :, j]
-        total += d
-    if blank:
-        shared = known_q.astype(float) @ known_x.T.astype(float)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            total = np.where(shared > 0, total * (p / shared), np.inf)
-    return np.sqrt(total)
-
-
-def _top(d: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of the k smallest per row; ties go to the lower column."""
-    k = min(k, d.shape[1])
-    best = np.argpartition(d, k - 1, axis=1)[:, :k]
-    limit = np.take_along_axis(d, best, axis=1).max(axis=1)
-    tied = ((d <= limit[:, None]).sum(axis=1) > k) & np.isfinite(limit)
-    for r in np.flatnonzero(tied):
-        near = np.flatnonzero(d[r] <= limit[r])
-        best[r] = near[np.argsort(d[r, near], kind="stable")][:k]
-    return best
+    """Null-aware Euclidean distances, row by row; infinite where no coordinate is shared."""
+    gap = queries - points
+    shared = (~np.isnan(gap)).sum(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        scaled = np.nansum(gap * gap, axis=1) * (queries.shape[1] / shared)
+    return np.where(shared > 0, np.sqrt(scaled), np.inf)
+
+
+class Block:
+    """Points prepared for distances by matrix products."""
+
+    def __init__(self, points: np.ndarray, centre: np.ndarray):
+        self.points = points
+        self.known = (~np.isnan(points)).astype(float)
+        self.value = np.nan_to_num(points - centre)
+        self.size = (self.value**2).sum(axis=1).max(initial=0.0)
+
+
+def within(queries: Block, points: Block, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (query, point, distance) of at most ``radius`` of the query.
+
+    One matrix product bounds all pairs, with a margin for its rounding; the few that remain are
+    measured exactly.
+    """
+    p = queries.points.shape[1]
+    left = np.concatenate([queries.value**2, queries.known, -2 * queries.value], axis=1)
+    right = np.concatenate([points.known, points.value**2, points.value], axis=1).T
+    margin = 1e-12 * p * (queries.size + points.size) + 1e-12
+    out = []
+    for start in range(0, len(radius), 256):
+        part = slice(start, start + 256)
+        raw = left[part] @ right
+        shared = queries.known[part] @ points.known.T
+        near = p * raw <= (radius[part, None] ** 2) * (1 + 1e-9) * shared + margin
+        i, j = np.nonzero(near & (shared > 0))
+        i += start
+        exact = np.concatenate([
+            np.zeros(0),
+            *[distances(queries.points[i[n : n + 500_000]], points.points[j[n : n + 500_000]]) for n in range(0, len(i), 500_000)],
+        ])
+        kept = exact <= radius[i] * (1 + 1e-9)
+        out.append((i[kept], j[kept], exact[kept]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
 def search(
     queries: np.ndarray,
     query_keys: np.ndarray,
     wants: np.ndarray,
-    bound: np.ndarray,
+    radius: np.ndarray,
     points: np.ndarray,
     point_keys: np.ndarray,
     offers: np.ndarray,
     k: int,
-) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
-    """Neighbours of a block of queries among a block of points sorted by key.
+) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The k nearest points of each query within its radius, per target; ties go to the smaller key.
 
-    ``wants[q, t]`` and ``offers[x, t]`` tell which targets a query needs and a
-    point can serve. Yields (query numbers, target, point numbers, distances)
-    with one row per query, unused places having an infinite distance.
+    ``wants[q, t]`` and ``offers[x, t]`` tell which targets a query needs and a point can serve.
+    Yields (query numbers, target, point numbers, distances, ranks from 0), sorted by query and rank.
     """
-    tree = box_tree(points, max(1, len(points) // LOCAL_ROWS))
-    home = tree.locate(points)
-    members = [np.flatnonzero(home == b) for b in range(len(tree.low))]
-    place = tree.locate(queries)
-    for box in np.unique(place):
-        block = np.flatnonzero(place == box)
-        for start in range(0, len(block), 256):
-            who = block[start : start + 256]
-            limit = bound[who]
-            near = members[box]
-            if len(near) >= k:
-                d = _masked(queries[who], query_keys[who], points[near], point_keys[near])
-                limit = np.minimum(limit, _kth(d, wants[who], offers[near], k).max(axis=1))
-            boxes = np.flatnonzero(tree.touched(queries[who], limit).any(axis=0))
-            if not len(boxes):
-                continue
-            near = np.sort(np.concatenate([members[b] for b in boxes]))
-            if not len(near):
-                continue
-            d = _masked(queries[who], query_keys[who], points[near], point_keys[near])
-            for t in range(wants.shape[1]):
-                asking = np.flatnonzero(wants[who, t])
-                if len(asking):
-                    serving = np.where(offers[near, t][None, :], d[asking], np.inf)
-                    best = _top(serving, k)
-                    yield who[asking], t, near[best], np.take_along_axis(serving, best, axis=1)
-
-
-def _masked(queries: np.ndarray, query_keys: np.ndarray, points: np.ndarray, point_keys: np.ndarray) -> np.ndarray:
-    d = distances(queries, points)
-    d[query_keys[:, None] == point_keys[None, :]] = np.inf
-    return d
-
-
-def _kth(d: np.ndarray, wants: np.ndarray, offers: np.ndarray, k: int) -> np.ndarray:
-    """k-th distance per wanted target (0 where unwanted); infinite where there are fewer points."""
+    if not len(queries) or not len(points):
+        return
+    known = ~np.isnan(points)
+    centre = np.where(known, points, 0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+    block = Block(points, centre)
+    for start in range(0, len(queries), QUERY_ROWS):
+        part = slice(start, start + QUERY_ROWS)
+        i, j, d = within(Block(queries[part], centre), block, radius[part])
+        i = i + start
+        other = query_keys[i] != point_keys[j]
+        i, j, d = i[other], j[other], d[other]
+        order = np.lexsort((point_keys[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        for t in range(wants.shape[1]):
+            fit = wants[i, t] & offers[j, t]
+            who, near, far = i[fit], j[fit], d[fit]
+            rank = np.arange(len(who)) - np.searchsorted(who, who)
+            first = rank < k
+            yield who[first], t, near[first], far[first], rank[first]
+
+
+def _reach(queries: np.ndarray, query_keys: np.ndarray, wants: np.ndarray, points: np.ndarray, point_keys: np.ndarray,
+           offers: np.ndarray, k: int) -> np.ndarray:
+    """k-th distance to a few points per wanted target (0 where unwanted); infinite where there are fewer."""
     out = np.zeros(wants.shape)
-    for t in range(wants.shape[1]):
-        asking = wants[:, t]
-        if not asking.any():
-            continue
-        serving = np.where(offers[:, t][None, :], d[asking], np.inf)
-        out[asking, t] = np.partition(serving, k - 1, axis=1)[:, k - 1] if serving.shape[1] >= k else np.inf
+    for start in range(0, len(queries), 128):
+        part = slice(start, start + 128)
+        n = len(queries[part])
+        d = distances(np.repeat(queries[part], len(points), axis=0), np.tile(points, (n, 1))).reshape(n, len(points))
+        d[query_keys[part, None] == point_keys[None, :]] = np.inf
+        for t in range(wants.shape[1]):
+            asking = np.flatnonzero(wants[part, t])
+            if len(asking):
+                serving = d[asking][:, offers[:, t]]
+                enough = serving.shape[1] >= k
+                out[start + asking, t] = np.partition(serving, k - 1, axis=1)[:, k - 1] if enough else np.inf
     return out
 
 
@@ -285,15 +293,11 @@ def nearest(
         want = needs(x)
         asking = np.flatnonzero(want.any(axis=1))
         # First bound: the k-th distance to a fixed number of sampled rows.
-        reach = np.zeros((len(asking), want.shape[1]))
-        for start in range(0, len(asking), 256):
-            who = asking[start : start + 256]
-            d = _masked(x[who], keys[who], pivots, pivot_keys)
-            reach[start : start + 256] = _kth(d, want[who], pivot_offers, k)
+        reach = _reach(x[asking], keys[asking], want[asking], pivots, pivot_keys, pivot_offers, k)
         seek = (x[asking], keys[asking], want[asking], reach.max(axis=1, initial=0.0))
-        for who, t, _, d in search(*seek, x, keys, serves(x), k):
-            if d.shape[1] >= k:
-                reach[who, t] = np.minimum(reach[who, t], d.max(axis=1))
+        for who, t, _, d, rank in search(*seek, x, keys, serves(x), k):
+            last = rank == k - 1
+            reach[who[last], t] = np.minimum(reach[who[last], t], d[last])
         radius = reach.max(axis=1, initial=0.0)
         out = pdf.loc[asking, ["key", *features]].copy()
         out["radius"] = radius
@@ -349,18 +353,15 @@ def nearest(
         q, x = guests[features].to_numpy(dtype=float), hosts[features].to_numpy(dtype=float)
         qk, xk = guests["key"].to_numpy(), hosts["key"].to_numpy()
         found = []
-        for who, t, near, d in search(q, qk, needs(q), guests["radius"].to_numpy(), x, xk, serves(x), k):
-            good = np.isfinite(d)
-            row, _ = np.nonzero(good)
-            hit = near[good]
+        for who, t, near, d, _ in search(q, qk, needs(q), guests["radius"].to_numpy(), x, xk, serves(x), k):
             found.append(
                 pd.DataFrame(
                     {
-                        "key": qk[who[row]],
+                        "key": qk[who],
                         "target": labels[t],
-                        "neighbour": xk[hit],
-                        "distance": d[good],
-                        "value": x[hit, columns[t]] if columns is not None else np.nan,
+                        "neighbour": xk[near],
+                        "distance": d,
+                        "value": x[near, columns[t]] if columns is not None else np.nan,
                     }
                 )
             )

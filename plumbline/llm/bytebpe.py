@@ -36,6 +36,8 @@ from plumbline.llm.common import Remembered, once, per_text, pick
 LEAF = 16_384  # characters of a text that are matched at once
 LOOK = 4  # no match depends on more characters behind its end
 LEAF_BYTES = 48  # bytes of a pre-token that are merged at once
+SHORT = 128  # bytes whose pairs are searched in a list; beyond, in a heap
+NEVER = 1 << 60
 
 
 def load_ranks(path: str, open_file=open) -> dict[bytes, int]:
@@ -46,15 +48,18 @@ def load_ranks(path: str, open_file=open) -> dict[bytes, int]:
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of ``word``: the adjacent pair of the lowest rank merges first, the leftmost of equals."""
-    if len(word) <= LEAF_BYTES:
+    if len(word) <= SHORT:
         parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            pairs = [ranks.get(a + b, 1 << 60) for a, b in zip(parts, parts[1:], strict=False)]
-            best = min(pairs)
-            if best == 1 << 60:
-                break
+        rank = ranks.get
+        pairs = [rank(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
+        while pairs and (best := min(pairs)) != NEVER:
             i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            joined = parts[i] = parts[i] + parts.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + joined, NEVER)
+            if i < len(pairs):
+                pairs[i] = rank(joined + parts[i + 1], NEVER)
         return [ranks[p] for p in parts]
     n = len(word)
     end = list(range(1, n + 1))  # by start: where the part ends; 0 if it has been taken in

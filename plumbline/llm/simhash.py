@@ -162,7 +162,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id reachable by links; one row per document."""
     prints = settle(fingerprints(docs, doc_id, text, shingle))
-    labels = grouped(prints, F.col("doc_id"), links, cell_rows, dealt)
+    labels = settle(grouped(prints, F.col("doc_id"), links, cell_rows, dealt))  # a plain join: a hot print can be split
     return prints.join(labels, F.col("fp") == F.col("of")).select("doc_id", "fp", F.col("first").alias("component_id"))
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import Remembered, once, per_text, pick
 
 BLANK = "▁"
+SHORT = 128
+NEVER = float("-inf")
 _PRE_TOKENS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
 
@@ -48,7 +50,19 @@ def check_borders(scores: dict[str, float]) -> None:
 
 
 def merge(word: str, scores: dict[str, float]) -> list[str]:
-    """Symbols of ``word`` after all merges, by a heap of the adjacent pairs."""
+    """Symbols of ``word`` after all merges; pairs are searched in a list, of long words in a heap."""
+    if len(word) <= SHORT:
+        short, score = list(word), scores.get
+        pairs = [score(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
+        while pairs and (best := max(pairs)) != NEVER:
+            i = pairs.index(best)
+            joined = short[i] = short[i] + short.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score(short[i - 1] + joined, NEVER)
+            if i < len(pairs):
+                pairs[i] = score(joined + short[i + 1], NEVER)
+        return short
     parts: list[str | None] = list(word)
     after = list(range(1, len(parts) + 1))
     before = list(range(-1, len(parts) - 1))

@@ -141,9 +141,9 @@ def near_duplicates(
     )
     of_node = of_node.select("node", "least", "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", "node").alias("root"))
     smallest = of_node.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = of_node.join(smallest, "root").select(
+    labels = settle(of_node.join(smallest, "root").select(
         F.col("node").alias("of"), (F.col("n") + F.col("copies") - 1).alias("n_links"), "component_id"
-    )
+    ))  # a plain join: a hot vector can be split
     linked = members.join(labels, F.col("node") == F.col("of"), "left")
     out = linked.select(
         "vec_id",

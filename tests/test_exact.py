@@ -14,7 +14,7 @@ from plumbline.operators import anomaly, dedup
 def all_neighbours(pdf, names, k, targets):
     pdf = pdf.sort_values("key").reset_index(drop=True)
     x, keys = pdf[names].to_numpy(), pdf["key"].to_numpy()
-    d = neighbours.distances(x, x)
+    d = neighbours.distances(np.repeat(x, len(x), axis=0), np.tile(x, (len(x), 1))).reshape(len(x), len(x))
     np.fill_diagonal(d, np.inf)
     found = set()
     for t in targets or [""]:
@@ -30,7 +30,7 @@ def all_neighbours(pdf, names, k, targets):
 def test_nearest_equals_brute_force(spark, monkeypatch, targets):
     monkeypatch.setattr(neighbours, "TILE_ROWS", 150)
     monkeypatch.setattr(neighbours, "VISITOR_ROWS", 50)
-    monkeypatch.setattr(neighbours, "LOCAL_ROWS", 32)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 40)
     draw = np.random.default_rng(3)
     pdf = pd.DataFrame(draw.integers(0, 25, (900, 3)).astype(float), columns=["a", "b", "c"])
     pdf["a"] *= 40
