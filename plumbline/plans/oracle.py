@@ -332,6 +332,38 @@ EDIT_MATCH = (
 )
 ORACLE_SQL["duplicates_by_id_or_name"] = duplicates_sql(EXACT_MATCH)
 ORACLE_SQL["duplicates_by_edit_distance"] = duplicates_sql(EDIT_MATCH)
+# TF-IDF over the distinct names of all rows in blocks, as one vector per name.
+TERM_VECTORS = (
+    "names AS (SELECT DISTINCT cname FROM blocked0), total AS (SELECT count(*) AS n FROM names), "
+    "terms AS (SELECT cname, term, count(*) AS tf FROM (SELECT cname, unnest(regexp_split_to_array(cname, '\\s+')) AS term "
+    "FROM names) GROUP BY 1, 2), idf AS (SELECT term, ln((1.0 + n) / (1 + count(*))) + 1 AS idf FROM terms, total GROUP BY term, n), "
+    "weighed AS (SELECT cname, term, tf * idf AS w FROM terms JOIN idf USING (term)), "
+    "sizes AS (SELECT cname, sqrt(sum(w * w)) AS size FROM weighed GROUP BY 1), "
+    "vectors AS (SELECT cname, list(coalesce(w, 0.0) / size ORDER BY term) AS v FROM (SELECT cname, size, term FROM sizes, idf) "
+    "LEFT JOIN weighed USING (cname, term) GROUP BY cname)"
+)
+TERM_MATCH = EXACT_MATCH + " OR list_dot_product({k}.v, {x}.v) >= 0.8"
+ORACLE_SQL["duplicates_by_terms"] = (
+    duplicates_sql(TERM_MATCH)
+    .replace("blocked AS (", "blocked0 AS (")
+    .replace("blocks AS (", f"{TERM_VECTORS}, blocked AS (SELECT blocked0.*, v FROM blocked0 JOIN vectors USING (cname)), blocks AS (", 1)
+    .replace("'cname': cname}", "'cname': cname, 'v': v}")
+    .replace("'exact_full_row' AS kind FROM", "'exact_full_row' AS kind, 1.0::DOUBLE AS similarity FROM")
+    .replace(
+        "THEN 'exact' ELSE 'fuzzy' END FROM",
+        "THEN 'exact' ELSE 'fuzzy' END, CASE WHEN hits[1].id = x.id OR hits[1].cname = x.cname THEN NULL "
+        "ELSE round(list_dot_product(hits[1].v, x.v), 4) END FROM",
+    )
+)
+KEPT_ROWS = (
+    f"SELECT row_id, id FROM ({listings_sql()}) WHERE row_id NOT IN (SELECT removed_key FROM ({duplicates_sql(EXACT_MATCH)}))"
+)
+ORACLE_SQL["deduplicated_rows"] = KEPT_ROWS
+# Seven columns are added by the imputation, the formats and the features.
+ORACLE_SQL["cleaning_log"] = (
+    f"SELECT (SELECT count(*) FROM ({listings_sql()})) AS rows_before, {len(COLUMNS)} AS columns_before, "
+    f"count(DISTINCT id) AS rows_after, {len(COLUMNS) + 7} AS columns_after FROM ({KEPT_ROWS})"
+)
 ORACLE_SQL["duplicate_counts"] = (
     f"SELECT (SELECT count(*) FROM ({listings_sql()})) AS rows_before, "
     f"(SELECT count(*) FROM ({listings_sql()})) - count(*) AS rows_after, "
@@ -1052,6 +1084,17 @@ def metrics_sql(source: str) -> str:
 
 
 ORACLE_SQL["evaluation_metrics"] = f"{LISTINGS}, {LABELLED}, {metrics_sql('labelled')}"
+AUC_OF = (
+    "g AS (SELECT score AS s, count(*) AS n, count(CASE WHEN truth = 1 THEN 1 END) AS pos FROM {0} GROUP BY 1), "
+    "r AS (SELECT pos, sum(n) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - n + (n + 1) / 2.0 AS rank FROM g), "
+    "t AS (SELECT CAST(sum(pos) AS DOUBLE) AS p, CAST(sum(n) - sum(pos) AS DOUBLE) AS q FROM g), "
+    "auc AS (SELECT round(((SELECT sum(CAST(pos * rank AS DOUBLE)) FROM r) - p * (p + 1) / 2) / (p * q), 4) AS roc_auc FROM t)"
+)
+SAMPLED = "sampled AS (SELECT * FROM labelled ORDER BY md5(CAST(row_id AS VARCHAR) || ':42'), row_id LIMIT 200)"
+ORACLE_SQL["evaluation_job"] = (
+    f"{LISTINGS}, {LABELLED}, {SAMPLED}, {AUC_OF.format('sampled')}, "
+    + metrics_sql("sampled").replace(" FROM m", ", (SELECT roc_auc FROM auc) AS roc_auc FROM m")
+)
 LABEL_SCORES = (
     f"{DOCUMENT_TEXT}, scores AS (SELECT quality AS truth, CAST(confidence >= 0.75 AS INTEGER) AS predicted, "
     "confidence AS score FROM classified JOIN labels USING (doc_id))"

@@ -209,6 +209,19 @@ def duplicate_counts(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.duplicate_counts(dedup.duplicate_log(rows, KEY, method="exact"), rows)
 
 
+@query
+def deduplicated_rows(spark: SparkSession, sf: str) -> DataFrame:
+    kept, _ = dedup.deduplicate(listings(spark, sf), KEY, method="exact")
+    return kept.select(KEY, "id")
+
+
+@query
+def cleaning_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and columns before and after the cleaning job."""
+    params = cleaning.CleanParams(similarity="exact", imputation="median")
+    return cleaning.run_cleaning(listings(spark, sf), KEY, params).log
+
+
 # Missing cells
 
 
@@ -608,6 +621,13 @@ def evaluation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.evaluation_metrics(_labelled(spark, sf, sample=False))
 
 
+@query
+def evaluation_job(spark: SparkSession, sf: str) -> DataFrame:
+    """All measures of the evaluation job on its seeded sample."""
+    issues, rows = _listing_issues(spark, sf)
+    return validation.run_evaluation(rows, health.master_log(issues, rows, KEY), KEY)
+
+
 def _label_scores(spark: SparkSession, sf: str) -> DataFrame:
     classified = textquality.classify_text(table(spark, sf, "documents"), "doc_id", ["text"])
     return classified.join(table(spark, sf, "labels"), "doc_id").select(
