@@ -120,6 +120,13 @@ def drift_by_date(df: DataFrame, date_column: str, columns: Sequence[str] = DRIF
     return drift_between(tagged, kept)
 
 
+def drift_report(df: DataFrame, date_column: str, columns: Sequence[str] = DRIFT_COLUMNS) -> DataFrame:
+    """:func:`drift_by_date` with the date that splits the cohorts."""
+    found = drift_by_date(df, date_column, columns)
+    split = median_date(df, date_column) if date_column in df.columns else F.lit(None).cast("string")
+    return found.withColumn("split_date", split)
+
+
 def drift_between_tables(baseline: DataFrame, current: DataFrame, columns: Sequence[str] = DRIFT_COLUMNS) -> DataFrame:
     """Drift of a table against a baseline table."""
     shared = [c for c in columns if c in baseline.columns and c in current.columns]

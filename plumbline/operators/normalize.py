@@ -93,7 +93,7 @@ def parse_quantity_text(df: DataFrame, text: str = "bathrooms_text", number: str
     kind = F.when(t.contains("shared"), "shared").when(t.contains("private"), "private").otherwise("standard")
     half = t.contains("half")
     kind = F.when(~half, kind).when(kind == "standard", "half").otherwise(F.concat(kind, F.lit("_half")))
-    digits = F.regexp_extract(t, r"([0-9]+(?:\.[0-9]+)?)", 1)
+    digits = F.regexp_extract(t, r"(\d+(?:\.\d+)?)", 1)
     current = as_double(df, number) if number in df.columns else F.lit(None).cast("double")
     value = (
         F.when(digits != "", digits.try_cast("double"))

@@ -25,6 +25,18 @@ PII_COLUMNS = {
     "host_thumbnail_url": "Biometric / Media PII",
     "host_picture_url": "Biometric / Media PII",
 }
+PII_REASONS = {
+    "host_name": "names a person",
+    "host_id": "stands for one person in the system",
+    "latitude": "places a home",
+    "longitude": "places a home",
+    "host_url": "leads to a person's page",
+    "listing_url": "leads to one home's page",
+    "host_location": "tells where a person lives",
+    "host_about": "free text that may hold personal details",
+    "host_thumbnail_url": "shows a person's face",
+    "host_picture_url": "shows a person's face",
+}
 REQUIRED_PII = ["host_name", "host_id", "latitude", "longitude"]
 
 # Personal data inside text.
@@ -38,15 +50,17 @@ PII_PATTERNS = {
 BATHROOM_CLASSES = {
     "half_bath_text": "half",
     "shared_or_private_text": "shared|private",
-    "standard_numeric_bath": r"^[0-9]+(\.[0-9]+)?[ \t]+(bath|baths)$",
+    "standard_numeric_bath": r"^\d+(\.\d+)?\s+(bath|baths)$",
 }
 ZERO_PRICES = ["$0.00", "$0", "0", "0.0", "$0.0"]
 
 
 def pii_columns(df: DataFrame, names: Mapping[str, str] = PII_COLUMNS) -> DataFrame:
     """Columns whose name marks personal data. Needs the schema only."""
-    found = [(c, names[c.lower()], c.lower() in REQUIRED_PII) for c in df.columns if c.lower() in names]
-    return df.sparkSession.createDataFrame(found, "column string, category string, required boolean")
+    found = [
+        (c, names[c.lower()], PII_REASONS.get(c.lower()), c.lower() in REQUIRED_PII) for c in df.columns if c.lower() in names
+    ]
+    return df.sparkSession.createDataFrame(found, "column string, category string, reason string, required boolean")
 
 
 def pii_profile(df: DataFrame, key: str, names: Mapping[str, str] = PII_COLUMNS) -> DataFrame:
@@ -91,7 +105,7 @@ def format_classes(
     text = F.lower(strip(F.col(column)))
     chosen = F.when(F.col(column).isNull(), "null")
     for name, pattern in classes.items():
-        chosen = chosen.when(text.rlike(pattern), name)
+        chosen = chosen.when(text.rlike(f"(?U){pattern}"), name)  # digits and blanks of all scripts, as published
     grouped = (
         values.groupBy(chosen.otherwise("other_unclassified").alias("class"))
         .agg(F.sum("c").alias("row_count"), F.count(column).alias("distinct_values"))

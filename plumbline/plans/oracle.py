@@ -812,6 +812,10 @@ ORACLE_SQL["drift_orders"] = (
     f"WITH {cohort_sql('orders', 'o_orderdate')} "
     + drift_sql("tagged", {"o_totalprice": "o_totalprice", "o_custkey": "o_custkey"})
 )
+ORACLE_SQL["drift_report"] = (
+    f"SELECT d.*, (SELECT strftime(make_timestamp(CAST(floor(quantile_cont(CAST(epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS DOUBLE), "
+    f"0.5)) AS BIGINT)), '%Y-%m-%d') FROM orders) AS split_date FROM ({ORACLE_SQL['drift_orders']}) d"
+)
 DRIFT = {
     "price": PRICE,
     "minimum_nights": "minimum_nights",

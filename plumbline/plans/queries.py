@@ -439,6 +439,11 @@ def drift_listings(spark: SparkSession, sf: str) -> DataFrame:
     return drift.drift_by_date(listings(spark, sf), "host_since")
 
 
+@query
+def drift_report(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.drift_report(table(spark, sf, "orders"), "o_orderdate", ["o_totalprice", "o_custkey"])
+
+
 @query
 def drift_raw_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     rows = listings(spark, sf)

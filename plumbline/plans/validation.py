@@ -58,7 +58,7 @@ class Validated:
 
     @property
     def drift(self) -> DataFrame:
-        return drift.drift_by_date(self.table, "host_since")
+        return drift.drift_report(self.table, "host_since")
 
 
 def find_issues(
@@ -95,6 +95,28 @@ def run_validation(
     return Validated(df, key, issues, scores, rule_list)
 
 
+def run_text(
+    df: DataFrame, key: str = "row_id", columns: Sequence[str] = textquality.TEXT_COLUMNS, list_column: str = "amenities"
+) -> dict[str, DataFrame]:
+    """Classes, means and findings of the text columns, and the figures of the list column."""
+    classified = settle(textquality.classify_text(df, key, columns))
+    parts = {
+        "classified": classified,
+        "summary": textquality.text_summary(classified),
+        "means": textquality.text_means(classified),
+        "issues": textquality.text_issues(classified),
+    }
+    if list_column in df.columns:
+        lists = settle(listfields.parse_list_field(df, list_column))
+        parts |= {
+            "list_metrics": listfields.list_metrics(lists, key),
+            "list_top_items": listfields.top_items(lists, key),
+            "list_categories": listfields.category_counts(lists, key),
+            "list_issues": listfields.list_issues(lists, key),
+        }
+    return parts
+
+
 def run_evaluation(df: DataFrame, master_log: DataFrame, key: str = "row_id", sample_rows: int | None = 200) -> DataFrame:
     """Measures of the row scores on a seeded sample (the whole table with ``None``)."""
     sample = evaluate.seeded_sample(df, key, sample_rows) if sample_rows else None

@@ -158,9 +158,17 @@ def read_spec(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode("columns").alias("column", "spec")).select("column", "spec.*")
 
 
-def write_spec(spec: DataFrame, path: str) -> None:
-    """Write a specification in the form :func:`read_spec` reads."""
-    body = F.struct(*[c for c in spec.columns if c != "column"])
-    spec.agg(F.map_from_entries(F.collect_list(F.struct("column", body))).alias("columns")).write.mode(
-        "overwrite"
-    ).json(path)
+def write_spec(
+    spec: DataFrame, path: str, version: str = "1.0", descriptions: Mapping[str, str] | None = None
+) -> None:
+    """Write a specification in the form :func:`read_spec` reads, with its version.
+
+    ``descriptions`` tell what a column holds; others are described by their type.
+    """
+    texts = spec.sparkSession.createDataFrame(list((descriptions or {}).items()), "column string, given string")
+    told = spec.join(texts, "column", "left").withColumn(
+        "description", F.coalesce("given", F.concat(F.col("expected_dtype"), F.lit(" column")))
+    )
+    body = F.struct(*[c for c in told.columns if c not in ("column", "given")])
+    document = told.agg(F.map_from_entries(F.collect_list(F.struct("column", body))).alias("columns"))
+    document.select(F.lit(version).alias("version"), "columns").write.mode("overwrite").json(path)

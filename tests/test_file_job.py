@@ -7,7 +7,7 @@ import pytest
 
 from plumbline.plans.cleaning import CleanParams
 from plumbline.plans.full import run_all
-from plumbline.plans.validation import run_evaluation, run_validation
+from plumbline.plans.validation import run_evaluation, run_text, run_validation
 from plumbline.sources import files
 from plumbline.sources.derived import listings
 
@@ -41,6 +41,15 @@ def test_csv_to_report(spark, loaded, tmp_path):
     assert spark.read.json(f"{out}/profile/dataset_summary").first().duplicate_rows == copies
 
 
+def test_text_job(loaded):
+    table, _ = loaded
+    parts = run_text(table)
+    assert parts["classified"].count() == 810
+    assert parts["summary"].agg({"rows": "sum"}).first()[0] == 810
+    assert parts["list_metrics"].first().total_processed == 405
+    assert parts["list_top_items"].count() <= 20 and parts["list_issues"].count() <= 405
+
+
 def test_evaluation_of_a_file_table(loaded):
     table, _ = loaded
     checked = run_validation(table, "row_id", with_anomalies=False)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from plumbline.functions.running import numbered, running_totals
-from plumbline.operators import dedup, evaluate, features, impute, normalize, profile
+from plumbline.operators import dedup, evaluate, features, impute, normalize, profile, schema, suspicious
 from plumbline.sources import files
 
 
@@ -139,3 +139,18 @@ def test_an_unreadable_cache_is_not_overwritten(spark, tmp_path):
         files.parquet_or(spark, str(tmp_path / "cache"), lambda: spark.range(1)).count()
     assert not isinstance(caught.value, AnalysisException) or not files.is_absent(caught.value)
     assert (tmp_path / "cache" / "part-0.parquet").read_text() == "no parquet"
+
+
+def test_published_classes_read_all_blanks(spark):
+    rows = spark.createDataFrame([(1, "1\u00a0bath"), (2, "2 baths"), (3, "x")], "row_id int, bathrooms_text string")
+    got = {r["class"]: r.row_count for r in suspicious.format_classes(rows).collect()}
+    assert got["standard_numeric_bath"] == 2 and got["other_unclassified"] == 1
+
+
+def test_spec_round_trip_with_version(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n bigint, t string")
+    spec = schema.infer_schema(rows)
+    files.write_spec(spec, str(tmp_path / "spec"), "2.1", {"n": "a number"})
+    document = spark.read.json(str(tmp_path / "spec")).first()
+    assert document.version == "2.1" and document["columns"]["n"]["description"] == "a number"
+    assert sorted(r.column for r in files.read_spec(spark, str(tmp_path / "spec")).collect()) == ["n", "t"]
