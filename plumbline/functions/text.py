@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 # White space and word characters, written so that the same
 # class means the same set in every regular-expression dialect used here.
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 NOT_WORD_OR_SPACE = r"[^\p{L}\p{N}_\s\p{Z}\x0b\x1c-\x1f\x85]"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def words(stripped: Column) -> Column:

@@ -14,6 +14,7 @@ from plumbline.functions.quantiles import quantile_row, quantile_table
 from plumbline.functions.scalars import attach
 from plumbline.functions.text import strip
 from plumbline.operators.dedup import row_signature
+from plumbline.session import settle
 
 # Columns of the correlation matrix and of its plotted triangle.
 CORRELATION_COLUMNS = ["price", "minimum_nights", "availability_365", "number_of_reviews"]
@@ -285,7 +286,8 @@ def column_facts(df: DataFrame, key: str) -> DataFrame:
     the window keeps ten rows per column in each task before the shuffle.
     """
     long = cells(df, key).where(F.col("value").isNotNull())
-    values = long.groupBy("column", "value").agg(F.count("*").alias("c"), F.min(key).alias("at"))
+    # Read for the facts and again for the samples.
+    values = settle(long.groupBy("column", "value").agg(F.count("*").alias("c"), F.min(key).alias("at")))
     v = strip(F.col("value"))
     length = F.length("value")
     facts = values.groupBy("column").agg(
