@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def local_session(cpus: int | str = "*", name: str = "plumbline") -> SparkSessio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -25,7 +28,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    session without that setting gets a folder of its own, removed at its end.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -36,6 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="plumbline-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     sc.setCheckpointDir(shared)
     return shared
 
