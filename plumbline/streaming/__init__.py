@@ -1,0 +1 @@
+"""Rules with fixed limits and text classes look at one row at a time: they take a streaming DataFrame as it is."""

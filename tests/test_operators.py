@@ -177,12 +177,12 @@ def test_gzip_csv(spark, tmp_path):
 
 
 def test_rules_on_a_stream(spark, tmp_path):
-    from plumbline.streaming.rowchecks import stream_violations
+    from plumbline.operators.rules import rule_violations
 
     df = spark.createDataFrame([(1, 400), (2, 3)], "id long, minimum_nights long")
     df.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    out = stream_violations(stream, "id").writeStream.format("memory").queryName("violations")
+    out = rule_violations(stream, "id").writeStream.format("memory").queryName("violations")
     query = out.option("checkpointLocation", str(tmp_path / "state")).start()
     query.processAllAvailable()
     query.stop()
