@@ -91,7 +91,7 @@ def filtered(df: DataFrame, text: str, keep: Callable[[list[str | None]], list[b
 class Remembered(dict):
     """A cache that computes what it lacks and starts anew when full, so its memory is bounded."""
 
-    def __init__(self, compute: Callable[[Any], Any], limit: int = 400_000, given: dict | None = None):
+    def __init__(self, compute: Callable[[Any], Any], limit: int = 300_000, given: dict | None = None):
         super().__init__(given or {})
         self.compute, self.limit, self.given = compute, limit, given or {}
 
@@ -105,7 +105,7 @@ class Remembered(dict):
         return value
 
 
-def once(key: Any, make: Callable[[], Any], keep: int = 4) -> Any:
+def once(key: Any, make: Callable[[], Any], keep: int = 2) -> Any:
     """``make()`` once per Python worker and key; the last few are kept.
 
     Functions travel by value, with fresh globals for each task, so what a worker keeps between

@@ -75,13 +75,32 @@ def new_weights(seed: int) -> dict[str, np.ndarray]:
     }
 
 
-def embed(words: list[bytes], weights: dict[str, np.ndarray]) -> np.ndarray:
-    """(words, 2 * EMBEDDING)"""
-    rows, own = gram_rows(words)
-    starts = np.searchsorted(own, np.arange(len(words)))
-    sums = np.add.reduceat(weights["grams"][rows], starts, axis=0)
-    sizes = np.bincount(own, minlength=len(words))
-    return np.concatenate([weights["words"][word_rows(words)], sums / sizes[:, None]], axis=1).astype(np.float32)
+class Vocabulary:
+    """The hash rows of distinct words: one per word, and those of its character n-grams in one array."""
+
+    def __init__(self, words: list[bytes], chunk: int = 20_000):
+        self.rows = word_rows(words)
+        grams, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), chunk):
+            part = words[k : k + chunk]
+            rows, own = gram_rows(part)
+            grams.append(rows.astype(np.uint16))
+            sizes.append(np.bincount(own, minlength=len(part)))
+        self.grams, self.sizes = np.concatenate(grams), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def grams_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gram rows of some words one after the other, and where those of each begin."""
+        sizes = self.sizes[ids]
+        begins = np.cumsum(sizes) - sizes
+        places = np.arange(sizes.sum()) + np.repeat(self.starts[ids] - begins, sizes)
+        return self.grams[places].astype(np.int64), begins
+
+    def embed(self, ids: np.ndarray, weights: dict[str, np.ndarray]) -> np.ndarray:
+        """(words, 2 * EMBEDDING)"""
+        rows, begins = self.grams_of(ids)
+        sums = np.add.reduceat(weights["grams"][rows], begins, axis=0)
+        return np.concatenate([weights["words"][self.rows[ids]], sums / self.sizes[ids][:, None]], axis=1).astype(np.float32)
 
 
 def forward(x: np.ndarray, w: dict[str, np.ndarray], keep: list | None = None):
@@ -160,7 +179,7 @@ def _sum_rows(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 class Words:
     """Numbers the distinct words it meets and keeps what they add to the gates, in bounded memory."""
 
-    def __init__(self, weights: dict[str, np.ndarray], limit: int = 150_000):
+    def __init__(self, weights: dict[str, np.ndarray], limit: int = 100_000):
         self.weights, self.limit = weights, limit
         self.clear()
 
@@ -169,7 +188,10 @@ class Words:
         self.added = np.empty((2, 1024, 3 * HIDDEN), dtype=np.float32)
         self.known = 0
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
+    def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        if self.known > self.limit:
+            self.clear()
+        words = [w for t in texts for w in t]
         found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         total = len(self.index)
         if total > self.known:
@@ -178,9 +200,10 @@ class Words:
                 grown = np.empty((2, max(total, 2 * self.added.shape[1]), 3 * HIDDEN), dtype=np.float32)
                 grown[:, : self.known] = self.added[:, : self.known]
                 self.added = grown
-            self.added[:, self.known : total] = project(embed(fresh, self.weights), self.weights)
+            embedded = Vocabulary(fresh).embed(np.arange(len(fresh)), self.weights)
+            self.added[:, self.known : total] = project(embedded, self.weights)
             self.known = total
-        return found
+        return np.split(found, np.cumsum([len(t) for t in texts])[:-1]) if texts else []
 
 
 def window_starts(words: int, width: int, stride: int) -> list[int]:
@@ -191,35 +214,28 @@ def window_starts(words: int, width: int, stride: int) -> list[int]:
     return [*starts, words - width]
 
 
-def window_logits(texts: list[list[bytes]], words: Words, width: int, stride: int, batch: int = 1024) -> list[np.ndarray]:
-    """For each text the logits of all its windows, none without words."""
-    if words.known > words.limit:
-        words.clear()
+def window_logits(
+    texts: list[np.ndarray], added: np.ndarray, weights: dict[str, np.ndarray], width: int, stride: int, batch: int = 1024
+) -> list[np.ndarray]:
+    """For each text (ids of its words) the logits of all its windows, none without words.
+
+    ``added`` (2, words, 3 * HIDDEN) is what a word adds to the gates. Windows of one length go through the
+    network together.
+    """
     sizes = [len(t) for t in texts]
-    ids = words.ids([w for t in texts for w in t])
-    bases = np.concatenate([[0], np.cumsum(sizes)])
-    by_width: dict[int, list[np.ndarray]] = defaultdict(list)
+    ids = np.concatenate([np.zeros(0, np.int64), *texts])
+    bases = np.cumsum([0, *sizes])
     starts = [np.array(window_starts(n, width, stride), dtype=np.int64) for n in sizes]
-    for base, n, own in zip(bases, sizes, starts, strict=False):
-        if n:
-            by_width[min(n, width)].append(own + base)
-    results = {}
-    for size, lists in by_width.items():
-        at = np.concatenate(lists)
+    out = [np.zeros(len(own), dtype=np.float32) for own in starts]
+    for size in sorted({min(n, width) for n in sizes if n}):
+        texts_of = [i for i, n in enumerate(sizes) if min(n, width) == size]
+        at = np.concatenate([starts[i] + bases[i] for i in texts_of])
         logits = np.empty(len(at), dtype=np.float32)
         for k in range(0, len(at), batch):
             chosen = ids[at[k : k + batch][None, :] + np.arange(size)[:, None]]
-            x = np.stack([words.added[0][chosen], words.added[1][chosen[::-1]]])
-            logits[k : k + batch] = forward(x, words.weights)[0]
-        results[size] = (logits, iter(np.cumsum([0] + [len(x) for x in lists])))
-    out = []
-    places = {size: 0 for size in results}
-    for n, own in zip(sizes, starts, strict=True):
-        if not n:
-            out.append(np.zeros(0, dtype=np.float32))
-            continue
-        size = min(n, width)
-        first = places[size]
-        out.append(results[size][0][first : first + len(own)])
-        places[size] += len(own)
+            logits[k : k + batch] = forward(np.stack([added[0][chosen], added[1][chosen[::-1]]]), weights)[0]
+        first = 0
+        for i in texts_of:
+            out[i] = logits[first : first + len(starts[i])]
+            first += len(starts[i])
     return out

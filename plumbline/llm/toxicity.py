@@ -16,6 +16,7 @@ learned and every score is 0. A repeated or contradictory label counts as often
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +45,7 @@ class Model:
     shift: float
 
 
-def log_odds(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+def log_odds(rows: Iterable[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """Of the rows that a document has, shrunk where few documents have them."""
     with_row = np.zeros((2, size))
     for row, label in zip(rows, labels, strict=True):
@@ -69,39 +70,43 @@ class Adam:
         w[rows] -= self.rate * fix * m[rows] / (np.sqrt(s[rows]) + 1e-7)
 
 
-def train_windows(weights, adam: Adam, windows: list[list[bytes]], labels: np.ndarray, importance: np.ndarray, draw) -> None:
-    """One epoch over windows; batches hold windows of one length."""
+def train_windows(
+    weights, adam: Adam, vocabulary: gru.Vocabulary, windows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, draw
+) -> None:
+    """One epoch over windows of word ids; batches hold windows of one length."""
     by_size: dict[int, list[int]] = {}
     for i in draw.permutation(len(windows)):
         by_size.setdefault(len(windows[i]), []).append(i)
     batches = [rows[k : k + BATCH] for rows in by_size.values() for k in range(0, len(rows), BATCH)]
     for b in draw.permutation(len(batches)):
         chosen = batches[b]
-        flat = [w for i in chosen for w in windows[i]]
-        numbers: dict[bytes, int] = {}
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in flat]).reshape(len(chosen), -1)
-        words = list(numbers)
-        rows, own = gru.gram_rows(words)
-        of_word = gru.word_rows(words)
-        e = gru.embed(words, weights)
-        _, g, d_e = gru.gradients(e, ids, labels[chosen], importance[chosen] / len(chosen), weights)
+        words, ids = np.unique(np.stack([windows[i] for i in chosen]), return_inverse=True)
+        e = vocabulary.embed(words, weights)
+        _, g, d_e = gru.gradients(e, ids.reshape(len(chosen), -1), labels[chosen], importance[chosen] / len(chosen), weights)
         adam.t += 1
         for name, value in g.items():
             adam.step(name, value)
-        d_word, d_gram = d_e[:, : gru.EMBEDDING], d_e[:, gru.EMBEDDING :]
-        d_gram = d_gram / np.bincount(own, minlength=len(words))[:, None]
-        for name, at, values in (("words", of_word, d_word), ("grams", rows, d_gram[own])):
+        sizes = vocabulary.sizes[words]
+        d_word, d_gram = d_e[:, : gru.EMBEDDING], d_e[:, gru.EMBEDDING :] / sizes[:, None]
+        grams = vocabulary.grams_of(words)[0]
+        for name, at, values in (("words", vocabulary.rows[words], d_word), ("grams", grams, np.repeat(d_gram, sizes, axis=0))):
             used, inverse = np.unique(at, return_inverse=True)
             adam.step(name, gru._sum_rows(inverse, values, len(used)), used)
 
 
 def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
     """A model of labelled texts; every fifth is kept back to set the threshold."""
-    split = [gru.words_of(t) for t in texts]
-    some = [i for i, words in enumerate(split) if words]
-    split, y = [split[i] for i in some], np.array([labels[i] for i in some], dtype=np.float32)
-    if len(set(y.tolist())) < 2:
+    numbers: dict[bytes, int] = {}
+    split, kept = [], []
+    for text, label in zip(texts, labels, strict=True):
+        if words := gru.words_of(text):
+            split.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int32))
+            kept.append(label)
+    y = np.array(kept, dtype=np.float32)
+    if len(set(kept)) < 2:
         return None
+    vocabulary = gru.Vocabulary(list(numbers))
+    del numbers
     draw = np.random.default_rng(seed)
     weights = gru.new_weights(seed)
     back = np.zeros(len(y), dtype=bool)
@@ -109,19 +114,15 @@ def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
         back[np.flatnonzero(y == label)[4::5]] = True
     own = np.flatnonzero(~back)
 
-    distinct = [list(set(words)) for words in split]
-    word_odds = log_odds([np.unique(gru.word_rows(distinct[i])) for i in own], y[own], gru.WORD_ROWS)
-    gram_odds = log_odds([np.unique(gru.gram_rows(distinct[i])[0]) for i in own], y[own], gru.GRAM_ROWS)
+    distinct = {i: np.unique(split[i]) for i in own}
+    word_odds = log_odds((np.unique(vocabulary.rows[distinct[i]]) for i in own), y[own], gru.WORD_ROWS)
+    gram_odds = log_odds((np.unique(vocabulary.grams_of(distinct[i])[0]) for i in own), y[own], gru.GRAM_ROWS)
     weights["words"][:, 0] += word_odds / 2
     weights["grams"][:, 0] += gram_odds / 2
-    del distinct
 
     starts = [gru.window_starts(len(words), WIDTH, STRIDE) for words in split]
-    evidence = _evidence(split, word_odds, gram_odds)
-    suspicion = [
-        np.array([own_evidence[s : s + WIDTH].max() for s in starts[i]]) for i, own_evidence in enumerate(evidence)
-    ]
-    del evidence
+    evidence = word_odds[vocabulary.rows] + np.add.reduceat(gram_odds[vocabulary.grams], vocabulary.starts) / vocabulary.sizes
+    suspicion = [np.array([evidence[words[s : s + WIDTH]].max() for s in starts[i]]) for i, words in enumerate(split)]
     positive = max(1, int((y[own] == 1).sum()))
     weight = {1: 0.5 / positive, 0: 0.5 / max(1, len(own) - positive)}
     adam = Adam(weights, RATE)
@@ -135,34 +136,24 @@ def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
                 targets.append(y[i])
                 importance.append(weight[int(y[i])] / len(chosen) * len(own))
             if not y[i]:  # clean words stay clean when they repeat, as in lists and junk
-                few = [split[i][k] for k in draw.integers(len(split[i]), size=3)]
-                windows.append([few[k * len(few) // WIDTH] for k in range(WIDTH)])
+                few = split[i][draw.integers(len(split[i]), size=3)]
+                windows.append(few[np.arange(WIDTH) * len(few) // WIDTH])
                 targets.append(0.0)
                 importance.append(weight[0] / 4 * len(own))
         for _ in range(EPOCHS):
-            train_windows(weights, adam, windows, np.array(targets), np.array(importance), draw)
-        words = gru.Words(weights)
+            train_windows(weights, adam, vocabulary, windows, np.array(targets), np.array(importance), draw)
         suspicion = []
-        for k in range(0, len(split), 500):
-            suspicion += gru.window_logits(split[k : k + 500], words, WIDTH, STRIDE)
+        for k in range(0, len(split), 250):
+            part = split[k : k + 250]
+            words, ids = np.unique(np.concatenate(part), return_inverse=True)
+            added = gru.project(vocabulary.embed(words, weights), weights)
+            texts_of = np.split(ids, np.cumsum([len(t) for t in part])[:-1])
+            suspicion += gru.window_logits(texts_of, added, weights, WIDTH, STRIDE)
         adam.rate /= 2
     most = np.array([s.max() for s in suspicion])
     return Model(weights, _threshold(most[back], y[back]) if back.any() else 0.0)
 
 
-def _evidence(split: list[list[bytes]], word_odds: np.ndarray, gram_odds: np.ndarray) -> list[np.ndarray]:
-    """For each word of each text its own log-odds and the mean of its n-grams'."""
-    numbers: dict[bytes, int] = {}
-    ids = [np.array([numbers.setdefault(w, len(numbers)) for w in words]) for words in split]
-    words = list(numbers)
-    value = word_odds[gru.word_rows(words)]
-    for k in range(0, len(words), 20_000):
-        part = words[k : k + 20_000]
-        rows, own = gru.gram_rows(part)
-        value[k : k + 20_000] += np.bincount(own, weights=gram_odds[rows]) / np.bincount(own)
-    return [value[i] for i in ids]
-
-
 def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
     """In the widest gap among the cuts with the fewest mistakes, nearer to the label 1: it is the rarer one."""
     order = np.argsort(logits, kind="stable")
@@ -184,7 +175,8 @@ class Scorer:
     def __call__(self, texts: list[str | None]) -> list[float]:
         if self.model is None:
             return [0.0] * len(texts)
-        found = gru.window_logits([gru.words_of(t) for t in texts], self.words, WIDTH, STRIDE)
+        ids = self.words.ids([gru.words_of(t) for t in texts])
+        found = gru.window_logits(ids, self.words.added, self.model.weights, WIDTH, STRIDE)
         return [float(1 / (1 + np.exp(-np.clip(float(x.max()) - self.model.shift, -30, 30)))) if len(x) else 0.0 for x in found]
 
 

@@ -59,13 +59,13 @@ def test_held_out_toxicity(spark):
 
 def test_toxicity_edge_rows(spark):
     schema = "doc_id bigint, text string, score int"
-    docs = spark.createDataFrame([(1, "good words"), (2, "bad nasty words"), (2, "bad nasty words"), (None, None), (4, "")], "doc_id bigint, text string").withColumn("score", F.lit(1))
+    docs = spark.createDataFrame([(1, "good words"), (2, "bad nasty words"), (2, "bad nasty words"), (None, None), (4, ""), (5, "good " * 200_000)], "doc_id bigint, text string").withColumn("score", F.lit(1))
     labels = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (3, None), (2, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels)
     got = [r.score for r in toxicity.score(docs, model).collect()]
-    assert len(got) == 5 and got[3] == got[4] == 0.0 and all(0 <= s <= 1 for s in got)
+    assert len(got) == 6 and got[3] == got[4] == 0.0 and all(0 <= s <= 1 for s in got)
     assert toxicity.train(docs, labels.limit(0)) is None
-    assert [r.score for r in toxicity.score(docs, None).collect()] == [0.0] * 5
+    assert [r.score for r in toxicity.score(docs, None).collect()] == [0.0] * 6
     assert toxicity.clean_documents(docs, None).columns == docs.columns
     assert toxicity.score(spark.createDataFrame([], schema), model).count() == 0
 
