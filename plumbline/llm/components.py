@@ -63,11 +63,12 @@ def tiled(df: DataFrame, key: list[str], spread: str, rows: int) -> DataFrame:
 
 
 def per_group(
-    df: DataFrame, key: list[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str
+    df: DataFrame, key: list[str], function: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str
 ) -> DataFrame:
     """``function`` of the rows of each group, for many small groups: a task streams its groups in order.
 
-    Groups must have a bounded size (see ``tiled``): a task holds one of them beside a batch.
+    None stands for no rows. Results are handed on batch by batch. Groups must have a bounded size
+    (see ``tiled``): a task holds one of them beside a batch.
     """
 
     def run(batches):
@@ -79,11 +80,12 @@ def per_group(
                 values = rows[k].to_numpy()
                 new[1:] |= values[1:] != values[:-1]
             cuts = np.concatenate([[0], np.flatnonzero(new)])
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield function(rows.iloc[a:b])
+            found = (function(rows.iloc[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+            if found := [f for f in found if f is not None]:
+                yield pd.concat(found, ignore_index=True)
             rest = rows.iloc[cuts[-1] :]
-        if rest is not None and len(rest):
-            yield function(rest)
+        if rest is not None and len(rest) and (last := function(rest)) is not None:
+            yield last
 
     return df.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, schema)
 

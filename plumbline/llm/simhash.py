@@ -39,9 +39,8 @@ CELL_ROWS = 2000
 BITS = 64
 
 
-def pivots(n: int = PIVOTS) -> list[int]:
-    """Fixed reference fingerprints, the same for all data."""
-    return [xxhash.xxh64_intdigest(b"pivot %d" % i, 0) for i in range(n)]
+#: Fixed reference fingerprints, the same for all data.
+REFERENCES = np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, 0) for i in range(PIVOTS)], dtype=np.uint64)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -76,8 +75,8 @@ def deal(prints: np.ndarray, dealt: int = DEALT, links: int = LINKS) -> tuple[np
     """Cells of fingerprints and the index of the fingerprint of each: a bit for each dealt pivot."""
     index = np.arange(len(prints))
     cell = np.zeros(len(prints), dtype=np.int64)
-    for pivot in pivots()[:dealt]:
-        away = np.bitwise_count(prints ^ np.uint64(pivot)).astype(np.int64)[index]
+    for pivot in REFERENCES[:dealt]:
+        away = np.bitwise_count(prints ^ pivot).astype(np.int64)[index]
         far = away >= MIDDLE
         near_border = ~far & (away + links >= MIDDLE)
         cell = np.concatenate([cell * 2 + far, cell[near_border] * 2 + 1])
@@ -97,21 +96,21 @@ def cells(nodes: DataFrame, dealt: int = DEALT, links: int = LINKS) -> DataFrame
     return nodes.mapInArrow(run, "cell bigint, fp bigint")
 
 
-def linked(a: np.ndarray, b: np.ndarray, links: int = LINKS, table: int = PIVOTS) -> tuple[np.ndarray, np.ndarray]:
+def linked(a: np.ndarray, b: np.ndarray, links: int = LINKS) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of linked fingerprints of ``a`` and ``b``, by their tables of pivot distances.
 
     Pivots that did not deal the cells come first, since those that did tell less inside one.
     """
-    refs = np.array(pivots(table)[::-1], dtype=np.uint64)
-    of = lambda x: np.bitwise_count(x[None, :] ^ refs[:, None]).astype(np.int8)
-    table_a, table_b = of(a), of(b)
+    of = lambda x: np.bitwise_count(x[None, :] ^ REFERENCES[::-1, None]).astype(np.int8)
+    table_a = of(a)
+    table_b = table_a if a is b else of(b)
     found_a, found_b = [], []
     for start in range(0, len(a), 256):
         own = table_a[:, start : start + 256]
         close = np.abs(own[0][:, None] - table_b[0][None, :]) <= links
         close &= np.abs(own[1][:, None] - table_b[1][None, :]) <= links
         i, j = np.nonzero(close)
-        for k in range(2, table):
+        for k in range(2, len(REFERENCES)):
             if not len(i):
                 break
             keep = np.abs(own[k, i] - table_b[k, j]) <= links
@@ -124,8 +123,10 @@ def linked(a: np.ndarray, b: np.ndarray, links: int = LINKS, table: int = PIVOTS
     return np.concatenate([nothing, *found_a]), np.concatenate([nothing, *found_b])
 
 
-def tile_links(rows: pd.DataFrame, links: int = LINKS) -> pd.DataFrame:
+def tile_links(rows: pd.DataFrame, links: int = LINKS) -> pd.DataFrame | None:
     """Of one pair of tiles: each fingerprint with the smallest that it reaches, if that is another."""
+    if len(rows) < 2:
+        return None
     prints, side = np.sort(rows["fp"].to_numpy()), None
     if rows["tile_a"].iloc[0] != rows["tile_b"].iloc[0]:
         order = np.argsort(rows["fp"].to_numpy(), kind="stable")
@@ -137,7 +138,10 @@ def tile_links(rows: pd.DataFrame, links: int = LINKS) -> pd.DataFrame:
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         i, j = linked(unsigned[left], unsigned[right], links)
         i, j = left[i], right[j]
-    root = forest(len(prints), i, j)
+    distinct = i != j
+    if not distinct.any():
+        return None
+    root = forest(len(prints), i[distinct], j[distinct])
     moved = np.flatnonzero(root != np.arange(len(prints)))
     return pd.DataFrame({"a": prints[moved], "b": prints[root[moved]]})
 
