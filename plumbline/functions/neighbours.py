@@ -29,7 +29,9 @@ from plumbline.session import settle, spread
 
 BOX_ROWS = 20_000  # rows aimed at per box
 TILE_ROWS = 20_000  # most rows of a box handled by one task
-QUERY_ROWS = 4_096
+QUERY_ROWS = 256
+LOCAL_ROWS = 512  # rows per box of the tree inside one tile
+NEAR_ROWS = 128  # rows of the own box that bound a radius first
 VISITOR_ROWS = 5_000  # visiting rows per task: this, or twice the rows of the box if that is more
 MAX_BOXES = 16_384
 SAMPLE_PER_BOX = 20
@@ -198,21 +200,32 @@ def search(
         return
     known = ~np.isnan(points)
     centre = np.where(known, points, 0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
-    block = Block(points, centre)
-    for start in range(0, len(queries), QUERY_ROWS):
-        part = slice(start, start + QUERY_ROWS)
-        i, j, d = within(Block(queries[part], centre), block, radius[part])
-        i = i + start
-        other = query_keys[i] != point_keys[j]
-        i, j, d = i[other], j[other], d[other]
-        order = np.lexsort((point_keys[j], d, i))
-        i, j, d = i[order], j[order], d[order]
-        for t in range(wants.shape[1]):
-            fit = wants[i, t] & offers[j, t]
-            who, near, far = i[fit], j[fit], d[fit]
-            rank = np.arange(len(who)) - np.searchsorted(who, who)
-            first = rank < k
-            yield who[first], t, near[first], far[first], rank[first]
+    tree = box_tree(points, max(1, len(points) // LOCAL_ROWS))
+    home, place = tree.locate(points), tree.locate(queries)
+    members = [np.flatnonzero(home == b) for b in range(len(tree.low))]
+    for box in np.unique(place):
+        block, local = np.flatnonzero(place == box), members[box][:NEAR_ROWS]
+        for start in range(0, len(block), QUERY_ROWS):
+            own = block[start : start + QUERY_ROWS]
+            # Points of the same box bound the radius, then only boxes within it are looked at.
+            reach = _reach(queries[own], query_keys[own], wants[own], points[local], point_keys[local], offers[local], k)
+            limit = np.minimum(radius[own], reach.max(axis=1, initial=0.0))
+            boxes = np.flatnonzero(tree.touched(queries[own], limit).any(axis=0))
+            some = np.concatenate([np.zeros(0, dtype=np.int64), *[members[b] for b in boxes]])
+            if not len(some):
+                continue
+            i, j, d = within(Block(queries[own], centre), Block(points[some], centre), limit)
+            i, j = own[i], some[j]
+            other = query_keys[i] != point_keys[j]
+            i, j, d = i[other], j[other], d[other]
+            order = np.lexsort((point_keys[j], d, i))
+            i, j, d = i[order], j[order], d[order]
+            for t in range(wants.shape[1]):
+                fit = wants[i, t] & offers[j, t]
+                who, near, far = i[fit], j[fit], d[fit]
+                rank = np.arange(len(who)) - np.searchsorted(who, who)
+                first = rank < k
+                yield who[first], t, near[first], far[first], rank[first]
 
 
 def _reach(queries: np.ndarray, query_keys: np.ndarray, wants: np.ndarray, points: np.ndarray, point_keys: np.ndarray,
