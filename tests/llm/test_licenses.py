@@ -66,3 +66,45 @@ def test_edge_rows(spark):
     assert text[four.start : four.end].startswith("Permission") and four.coverage == 1.0
     assert licenses.scan(docs.limit(0)).count() == 0
     assert all(not r.licenses for r in licenses.scan(docs, []).collect())
+
+
+def found_in(text):
+    return [m.license for m in licenses.Scanner(licenses.TEMPLATES)(text)]
+
+
+def test_neighbours_are_told_apart():
+    notices = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under the GNU Lesser General Public License v2.1": "LGPL-2.1",
+        "under the terms of the GNU Affero General Public License, version 3": "AGPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Distributed under the MIT License": "MIT",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+    }
+    for text, name in notices.items():
+        assert found_in(f"some words before {text} And after.") == [name], text
+    for text in ("Licensed under the BSD License", "licensed under the old License", "SPDX-License-Identifier: MIT-0", "under the GNU General Public License"):
+        assert found_in(text) == [], text
+    both = "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0. Released under the MIT License."
+    assert sorted(found_in(both)) == ["CC-BY-4.0", "CC-BY-NC-4.0", "MIT"]
+
+
+def test_full_texts_of_neighbours():
+    for template in licenses.TEMPLATES:
+        if not template.whole:
+            words = template.text.split()
+            edited = " ".join(w for i, w in enumerate(words) if i != len(words) - 2)
+            assert found_in(template.text) == found_in(f"x {edited} y") == [template.license], template
+    two, three = (next(t.text for t in licenses.TEMPLATES if t.license == f"BSD-{n}-Clause") for n in (2, 3))
+    assert sorted(found_in(f"{three} {two}")) == ["BSD-2-Clause", "BSD-3-Clause"]
+
+
+def test_a_match_inside_another_is_dropped():
+    scanner = licenses.Scanner([("long", "a b c d e f g h"), ("short", "c d e f g")])
+    assert [m.license for m in scanner("a b c d e f g h")] == ["long"]
+    assert [m.license for m in scanner("x c d e f g x")] == ["short"]
+    assert [m.license for m in licenses.Scanner([("one", "a b c d e"), ("two", "a b c d e")])("a b c d e")] == ["one", "two"]
