@@ -10,8 +10,12 @@ matrix products.
 Fitting sample (its bound is a parameter): per language the ``per_language`` rows of smallest
 id hash, of at most ``longest`` characters, and ``most`` rows overall. Scores are
 ``(f + 1) / 2`` of the best language, cut to 0..1; of equal scores the first language by name wins.
+A text is in none of the languages if the landmarks know too few of its n-grams. The limits come from
+the sample: of rows that are no landmarks, and of landmarks beside the others, the share of known n-grams
+and the score that all but 1 % reach. Below ``FAR`` of that share, or below ``NEAR`` of it with a score below
+``FAR`` of that one, a text is ``und``. Mixed texts have known n-grams, so they stay whatever their score.
 Null texts and those without a letter are ``und`` with score 0, as are all texts if nothing can be
-learned (no row with an id, a text with letters and a language).
+learned (no row with an id, a text with letters and a language); a filter keeps texts with letters then.
 """
 
 from __future__ import annotations
@@ -34,8 +38,10 @@ ALPHABET = 62
 BASE = 64
 RIDGE = 1e-2
 UNKNOWN = "und"
-#: Texts of a lower score are rejected as being in no language that was learned.
-LEAST_SCORE = 0.3
+#: Shares of what all but 1 % of the sample reach.
+FAR, NEAR = 0.8, 0.9
+#: Texts of a lower score are rejected; by default none, an even mix of L languages scores about 1 / L.
+LEAST_SCORE = 0.0
 
 
 @dataclass
@@ -45,6 +51,8 @@ class Model:
     grams: np.ndarray  # codes that some landmark has, ascending
     landmarks: np.ndarray  # (landmarks, grams): presence over the root of the landmark's size
     weights: np.ndarray  # (landmarks, languages)
+    least_known: float  # share of known n-grams that all but 1 % of the sample reach
+    least_score: float
 
 
 def letter_table(alphabet: str) -> np.ndarray:
@@ -124,7 +132,13 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS) -> M
     balance = np.array([1 / counts[n] for n in names])[:, None]  # each language weighs the same
     square = features.T @ (features * balance) + RIDGE * np.eye(features.shape[1]) / len(marks)
     weights = root @ np.linalg.solve(square, features.T @ (targets * balance))
-    return Model(alphabet, known, codes, marked, weights.astype(np.float32))
+    is_mark = np.isin(np.arange(len(rows)), marks)
+    elsewhere = present.copy()
+    elsewhere[is_mark] *= present[marks].sum(axis=0) > 1  # a landmark is judged by the others
+    shares = elsewhere.sum(axis=1) / roots**2
+    scores = ((kernel @ weights).max(axis=1) + 1) / 2
+    least = [float(np.quantile(v, 0.01, method="lower")) for v in (shares, scores)]
+    return Model(alphabet, known, codes, marked, weights.astype(np.float32), *least)
 
 
 class Classifier:
@@ -149,6 +163,9 @@ class Classifier:
             values = (present @ self.model.landmarks.T / np.sqrt(sizes)[:, None]) @ self.model.weights
             best = values.argmax(axis=1)
             score = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
+            share = present.sum(axis=1) / sizes
+            known &= share >= FAR * self.model.least_known
+            known &= (share >= NEAR * self.model.least_known) | (score >= FAR * self.model.least_score)
             out += [
                 (self.model.languages[b], float(s)) if k else (UNKNOWN, 0.0)
                 for b, s, k in zip(best, score, known, strict=True)
@@ -200,6 +217,8 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
 
 def known_language(docs: DataFrame, model: Model | None, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """Documents in a learned language, with all their columns."""
+    """Documents in a learned language, with all their columns; with letters, if none was learned."""
+    if model is None:
+        return filtered(docs, text, lambda texts: [any(c.isalpha() for c in t or "") for t in texts])
     classify = Sent(docs.sparkSession, model)
     return filtered(docs, text, lambda texts: [n != UNKNOWN and s >= least for n, s in classify(texts)])

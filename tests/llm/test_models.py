@@ -100,3 +100,26 @@ def test_language_edge_rows(spark):
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
     kept = langid.known_language(docs, model)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+
+
+def test_texts_in_no_learned_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    classify = langid.Classifier(model)
+    unlearned = [
+        "Это обычный текст на русском языке, который модель никогда не видела.", "これは日本語の文章です。", "Αυτό είναι ένα κείμενο στα ελληνικά",
+        "Tämä on suomenkielinen teksti, jota malli ei ole koskaan nähnyt, joten se pitäisi hylätä täysin.",
+        "Wczoraj poszedłem do sklepu, żeby kupić chleb, mleko i kilka jabłek na śniadanie dla całej rodziny.",
+        "Bugün hava çok güzel olduğu için arkadaşlarımla birlikte parka gidip uzun bir yürüyüş yaptık.",
+        "Ieri sono andato al mercato per comprare il pane e la frutta, poi ho incontrato un vecchio amico.",
+        "xqzk wvvjq zzkqx qqjxv kzxwq",
+    ]
+    assert classify(unlearned) == [("und", 0.0)] * len(unlearned)
+    rows = docs.where("lang IS NOT NULL AND length(text) BETWEEN 200 AND 5000").orderBy("doc_id").collect()
+    by_language = {k: [r.text for r in rows if r.lang == k][:30] for k in {r.lang for r in rows}}
+    mixed = [" ".join(parts) for parts in zip(*by_language.values(), strict=False)]
+    assert len(mixed) > 10 and all(n != "und" and s >= langid.LEAST_SCORE for n, s in classify(mixed))
+    lettered = [r for r in docs.where("text IS NOT NULL").collect() if any(c.isalpha() for c in r.text)]
+    assert sum(n == "und" for n, _ in classify([r.text for r in lettered])) <= len(lettered) // 500
+    given = spark.createDataFrame([(1, "words", None), (2, "1 !", None), (3, None, None)], "doc_id int, text string, lang string")
+    assert [r.doc_id for r in langid.known_language(given, langid.train(given)).collect()] == [1]
