@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from plumbline.llm import (
     bytebpe,
     decontaminate,
+    divergence,
     langid,
     licenses,
+    packing,
+    search,
     sharding,
     simhash,
     tokencount,
@@ -174,3 +177,85 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.digest(licenses.scan(read_table(spark, sf, "documents")))
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    docs = read_table(spark, sf, "documents")
+    return packing.pack(packing.pieces(docs, vocabulary, ranks, public_tokenizers.PATTERN, end_id=2))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+SQL["op12_ranked_search"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), corpus AS (
+    SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM doc_words WHERE len(w) > 0
+), held AS (
+    SELECT doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM doc_words) JOIN (SELECT DISTINCT term FROM item_terms) USING (term)
+    GROUP BY doc_id, n, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM held, corpus GROUP BY term, docs
+), scores AS (
+    SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM item_terms JOIN held USING (term) JOIN weights USING (term), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), tokens AS (
+    SELECT id, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+    SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), pairs AS (
+    SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM tokens JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grid AS (
+    SELECT lang, source, term, coalesce(n, 0)::HUGEINT AS n,
+        sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, count(*) OVER (PARTITION BY lang, source) AS v
+    FROM pairs JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), whole AS (
+    SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total, count(*) OVER (PARTITION BY lang) AS v
+    FROM grid GROUP BY lang, term
+), p AS (
+    SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (total + 2 * v) AS p FROM grid
+), q AS (
+    SELECT lang, term, 1 + (1000000000 * (n + 2)) // (total + 2 * v) AS q FROM whole
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM pairs a JOIN pairs b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
