@@ -148,7 +148,7 @@ def _postings(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
             for x, kind in (([t for t, _ in found], np.int32), ([f for _, f in found], np.int64))
         ]
         return pa.RecordBatch.from_arrays(
-            [pa.array([counts] * len(found)), ids, pa.array(docs_, pa.int64()), pa.array(n, pa.int64()), *lists], names=names
+            [pa.array([counts] * len(found), pa.bool_()), ids, pa.array(docs_, pa.int64()), pa.array(n, pa.int64()), *lists], names=names
         )
 
     def run(batches: Batches) -> Batches:
