@@ -7,15 +7,20 @@ with K the kernel among landmarks and k(x) that of a text to them, ``K^-1/2 k(x)
 one ridge regression per language (+1, rest -1) is fitted on them. Batches of texts are scored by two
 matrix products.
 
-Fitting sample (its bound is a parameter): per language the ``per_language`` rows of smallest
-id hash, of at most ``longest`` characters, and ``most`` rows overall. Scores are
+Fitting sample (its bound is a parameter): per language the ``per_language`` usable rows of smallest
+id hash, and ``most`` rows overall. Usable rows have a letter and at most ``longest`` characters; only
+a language without such rows is learned from ``few`` longer ones, so none is lost by its lengths. Scores are
 ``(f + 1) / 2`` of the best language, cut to 0..1; of equal scores the first language by name wins.
-A text is in none of the languages if the landmarks know too few of its n-grams. The limits come from
-the sample: of rows that are no landmarks, and of landmarks beside the others, the share of known n-grams
-and the score that all but 1 % reach. Below ``FAR`` of that share, or below ``NEAR`` of it with a score below
-``FAR`` of that one, a text is ``und``. Mixed texts have known n-grams, so they stay whatever their score.
-Null texts and those without a letter are ``und`` with score 0, as are all texts if nothing can be
-learned (no row with an id, a text with letters and a language); a filter keeps texts with letters then.
+Every text with a letter gets the best language. Null texts and those without a letter are ``und`` with
+score 0, as are all texts if nothing can be learned (no usable row with an id and a language).
+
+``known_language`` keeps texts that the landmarks know well enough. The limits come from the sample: of
+rows that are no landmarks, and of landmarks beside the others, the share of known n-grams and the
+score that all but 1 % reach. A text is rejected below ``FAR`` of that share, or below ``NEAR`` of it with a
+score below ``FAR`` of that one, or without any known n-gram. The share of a text of few n-grams says little, so both limits
+are lowered by ``DOUBT`` times its standard deviation in texts of that size. Mixed texts have
+known n-grams, so they stay whatever their score. Texts with letters stay where nothing was learned.
+Repeated rows and other columns are kept as they are; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -34,12 +39,15 @@ PER_LANGUAGE = 500
 LANDMARKS = 40  # per language
 MOST = 20_000
 LONGEST = 20_000
+FEW = 20
+SALTS = 64
 ALPHABET = 62
 BASE = 64
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Shares of what all but 1 % of the sample reach.
 FAR, NEAR = 0.8, 0.9
+DOUBT = 3.0
 #: Texts of a lower score are rejected; by default none, an even mix of L languages scores about 1 / L.
 LEAST_SCORE = 0.0
 
@@ -146,44 +154,62 @@ class Classifier:
         self.model = model
         self.grams = Grams(model.alphabet) if model else None
 
-    def __call__(self, texts: list[str | None], batch: int = 256) -> list[tuple[str, float]]:
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        return [(name, score) for name, score, _ in self.judge(texts)]
+
+    def judge(self, texts: list[str | None], batch: int = 256) -> list[tuple[str, float, bool]]:
+        """Best language, its score, and whether the model knows enough of the text to vouch for it."""
         if self.model is None:
-            return [(UNKNOWN, 0.0)] * len(texts)
-        out: list[tuple[str, float]] = []
+            return [(UNKNOWN, 0.0, False)] * len(texts)
+        out: list[tuple[str, float, bool]] = []
         for start in range(0, len(texts), batch):
             part = texts[start : start + batch]
             present = np.zeros((len(part), len(self.model.grams)), dtype=np.float32)
             sizes = np.ones(len(part))
-            known = np.zeros(len(part), dtype=bool)
+            lettered = np.zeros(len(part), dtype=bool)
             for i, text in enumerate(part):
                 flags = self.grams(text)
                 if flags is not None:
-                    known[i], sizes[i] = True, np.count_nonzero(flags)
+                    lettered[i], sizes[i] = True, np.count_nonzero(flags)
                     present[i] = flags[self.model.grams]
             values = (present @ self.model.landmarks.T / np.sqrt(sizes)[:, None]) @ self.model.weights
             best = values.argmax(axis=1)
             score = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
-            share = present.sum(axis=1) / sizes
-            known &= share >= FAR * self.model.least_known
-            known &= (share >= NEAR * self.model.least_known) | (score >= FAR * self.model.least_score)
+            known = self.known(present.sum(axis=1) / sizes, sizes, score)
             out += [
-                (self.model.languages[b], float(s)) if k else (UNKNOWN, 0.0)
-                for b, s, k in zip(best, score, known, strict=True)
+                (self.model.languages[b], float(s), bool(k)) if has else (UNKNOWN, 0.0, False)
+                for b, s, k, has in zip(best, score, known, lettered, strict=True)
             ]
         return out
 
+    def known(self, share: np.ndarray, sizes: np.ndarray, score: np.ndarray) -> np.ndarray:
+        def limit(part: float) -> np.ndarray:
+            least = part * self.model.least_known  # a letter is in three n-grams or more, so a third of them count as independent
+            return least - DOUBT * np.sqrt(least * (1 - least) / (sizes / 3))
+
+        return (share > 0) & (share >= limit(FAR)) & ((share >= limit(NEAR)) | (score >= FAR * self.model.least_score))
+
 
 def sample(
-    docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, most: int = MOST, longest: int = LONGEST
+    docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, most: int = MOST, longest: int = LONGEST, few: int = FEW
 ) -> list:
-    """Rows ``(lang, text)`` of the fitting sample, by rank; ids are ranked first, then only their texts read."""
-    rows = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy("rank_hash", "doc_id")
-    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("rank_hash"))
-    ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    ids = ids.orderBy("rank", "lang").limit(most).select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "rank")
+    """Rows ``(lang, text)`` of the fitting sample, by rank; usable rows are ranked first, then only their texts read.
+
+    Ranks are taken in two steps, so that no language meets in one task with all that tasks hand on.
+    """
+    rows = docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    order = ["long", "rank_hash", "doc_id"]
+    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("rank_hash"), (F.length("text") > longest).alias("long"))
+    near = Window.partitionBy("lang", "salt").orderBy(*order)
+    ids = ids.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    ids = ids.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= per_language).drop("rank", "salt")
+    ids = ids.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ids = ids.withColumn("only_long", F.min("long").over(Window.partitionBy("lang")))
+    ids = ids.where((F.col("rank") <= per_language) & (~F.col("long") | (F.col("only_long") & (F.col("rank") <= few))))
+    ids = ids.orderBy("rank", "lang").limit(most)
+    ids = ids.select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "rank", "only_long")
     found = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
-    found = found.where(F.length("text") <= longest).select("lang", "text", "rank", "doc_id")
+    found = found.where(F.col("only_long") | (F.length("text") <= longest)).select("lang", "text", "rank", "doc_id")
     return found.orderBy("rank", "lang", "doc_id", "text").limit(most).collect()
 
 
@@ -201,8 +227,8 @@ class Sent:
     def __init__(self, spark, model: Model | None):
         self.key, self.model = uuid.uuid4().hex, spark.sparkContext.broadcast(model)
 
-    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        return once(self.key, lambda: Classifier(self.model.value))(texts)
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        return once(self.key, lambda: Classifier(self.model.value)).judge(texts)
 
 
 def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,7 +237,7 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
     def derive(texts):
         found = classify(texts)
-        return [pa.array([n for n, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+        return [pa.array([n for n, _, _ in found], pa.string()), pa.array([s for _, s, _ in found], pa.float64())]
 
     return per_text(pick(docs, doc_id=doc_id, text=text), "lang_pred string, score double", derive)
 
@@ -221,4 +247,4 @@ def known_language(docs: DataFrame, model: Model | None, text: str = "text", lea
     if model is None:
         return filtered(docs, text, lambda texts: [any(c.isalpha() for c in t or "") for t in texts])
     classify = Sent(docs.sparkSession, model)
-    return filtered(docs, text, lambda texts: [n != UNKNOWN and s >= least for n, s in classify(texts)])
+    return filtered(docs, text, lambda texts: [known and s >= least for _, s, known in classify(texts)])

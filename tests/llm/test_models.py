@@ -102,6 +102,14 @@ def test_language_edge_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
 
 
+def test_a_language_of_long_texts_is_learned_too(spark):
+    rows = [(i, "the thing and of " * 2, "x") for i in range(30)] + [(100 + i, "das und der die " * 2000, "y") for i in range(30)]
+    rows += [(200 + i, "... 12", "y") for i in range(30)] + [(300 + i, "the " * 9000, "x") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(9)
+    found = langid.sample(docs, F.lit(True), per_language=25, longest=20_000, few=3)
+    assert sorted((r.lang, len(r.text) > 20_000) for r in found) == [("x", False)] * 25 + [("y", True)] * 3
+
+
 def test_texts_in_no_learned_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.train(docs)
@@ -111,15 +119,17 @@ def test_texts_in_no_learned_language(spark):
         "Tämä on suomenkielinen teksti, jota malli ei ole koskaan nähnyt, joten se pitäisi hylätä täysin.",
         "Wczoraj poszedłem do sklepu, żeby kupić chleb, mleko i kilka jabłek na śniadanie dla całej rodziny.",
         "Bugün hava çok güzel olduğu için arkadaşlarımla birlikte parka gidip uzun bir yürüyüş yaptık.",
-        "Ieri sono andato al mercato per comprare il pane e la frutta, poi ho incontrato un vecchio amico.",
         "xqzk wvvjq zzkqx qqjxv kzxwq",
     ]
-    assert classify(unlearned) == [("und", 0.0)] * len(unlearned)
+    assert not any(known for _, _, known in classify.judge(unlearned))
+    assert all(name in model.languages and 0 <= score <= 1 for name, score in classify(unlearned))
+    short = ["OK", "Quiz jazz", "Xylophone", "USA", "42 km", "Kyiv", "print(x)", "A. All rights reserved.", "The thing is on the end"]
+    assert all(known and name in model.languages for name, _, known in classify.judge(short))
     rows = docs.where("lang IS NOT NULL AND length(text) BETWEEN 200 AND 5000").orderBy("doc_id").collect()
     by_language = {k: [r.text for r in rows if r.lang == k][:30] for k in {r.lang for r in rows}}
     mixed = [" ".join(parts) for parts in zip(*by_language.values(), strict=False)]
-    assert len(mixed) > 10 and all(n != "und" and s >= langid.LEAST_SCORE for n, s in classify(mixed))
+    assert len(mixed) > 10 and all(known and s >= langid.LEAST_SCORE for _, s, known in classify.judge(mixed))
     lettered = [r for r in docs.where("text IS NOT NULL").collect() if any(c.isalpha() for c in r.text)]
-    assert sum(n == "und" for n, _ in classify([r.text for r in lettered])) <= len(lettered) // 500
+    assert all(known and n != "und" for n, _, known in classify.judge([r.text for r in lettered]))
     given = spark.createDataFrame([(1, "words", None), (2, "1 !", None), (3, None, None)], "doc_id int, text string, lang string")
     assert [r.doc_id for r in langid.known_language(given, langid.train(given)).collect()] == [1]
