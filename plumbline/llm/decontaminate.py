@@ -60,13 +60,13 @@ def window_blocks(
     """
     rows = pick(items, item_id=item_id, text=text).select(F.col("item_id").cast("string"), "text")
     rows = rows.mapInArrow(lambda b: _windows(b, window), "item_id string, window binary")
-    found = rows.groupBy("window").agg(F.collect_set("item_id").alias("items"))
+    found = rows.groupBy("window").agg(F.collect_set(F.struct("item_id")).alias("items"))  # a set drops bare nulls
     size = found.agg(F.sum(F.length("window") + 24 * F.size("items"))).first()[0] or 0
     blocks = -(-size // block_bytes)
     out = []
     for block in range(blocks):
         part = found.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
-        out.append({bytes(r.window): tuple(r["items"]) for r in part.toLocalIterator()})
+        out.append({bytes(r.window): tuple(i["item_id"] for i in r["items"]) for r in part.toLocalIterator()})
     return out
 
 
@@ -152,7 +152,7 @@ def decontaminate(
         return [
             pa.array([n for n, _, _ in found], pa.int64()),
             pa.array([sum(e - f for f, e in runs) for _, runs, _ in found], pa.int64()),
-            pa.array([sorted(own) for _, _, own in found], pa.list_(pa.string())),
+            pa.array([sorted(own, key=lambda i: (i is None, i)) for _, _, own in found], pa.list_(pa.string())),
             pa.array(
                 [[{"start": a, "end": b} for a, b in spans(t, runs)] for t, (_, runs, _) in zip(texts, found, strict=True)],
                 pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),

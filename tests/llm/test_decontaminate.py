@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -64,3 +65,12 @@ def test_empty_tables_and_filter(spark):
     assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
     kept = decontaminate.clean_documents(docs, items)
     assert kept.columns == docs.columns and sorted(r.text or "" for r in kept.collect()) == ["", "q"]
+
+
+def test_null_item_ids_count(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, "two three"), ("b", "three"), (None, "one")], "item_id string, text string")
+    rows = {r.doc_id: r for r in decontaminate.decontaminate(docs, items).collect()}
+    assert rows[1]["items"] == ["b", None] and rows[1].n_hit == 3 and rows[2]["items"] == []
+    counted = {r.doc_id: r for r in decontaminate.digest(decontaminate.decontaminate(docs, items)).collect()}
+    assert counted[1].n_items == 2 and counted[1].items_sha256 == hashlib.sha256(b"b").hexdigest()
