@@ -7,7 +7,8 @@ begins and ends at word borders. A text is normalised the same way and scanned o
 mapped back to word numbers and to character offsets of the original text.
 
 Null and empty texts have no words; repeated windows, items and documents count as they are; an
-empty benchmark hits nothing; null item ids count as items but are left out of lists.
+empty benchmark hits nothing; null item ids count as one item, a null at the end
+of the list, which the digest's text of ids leaves out.
 """
 
 from __future__ import annotations

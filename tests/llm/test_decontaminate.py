@@ -23,9 +23,8 @@ def by_hand(text, items, size=10):
             for k in range(len(words) - len(window) + 1):
                 if words[k : k + len(window)] == window:
                     hit.update(range(k, k + len(window)))
-                    if number is not None:
-                        found.add(str(number))
-    return len(words), len(hit), sorted(found)
+                    found.add(None if number is None else str(number))
+    return len(words), len(hit), sorted(found, key=lambda i: (i is None, i))
 
 
 def cases():
