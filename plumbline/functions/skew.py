@@ -23,11 +23,20 @@ def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(settled) if settled.count() <= rows else settled
 
 
-def lookup_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join ``rows`` to ``groups`` (one row per key, null keys equal); both are read once."""
+def lookup_groups(
+    rows: DataFrame, groups: DataFrame, on: Sequence[str], how: str = "left", counted: int | None = None
+) -> DataFrame:
+    """Join ``rows`` to ``groups`` (one row per key, null keys equal); both are read once.
+
+    ``counted``: an upper bound of the rows of ``groups``, where the caller knows one.
+    """
     extra = [c for c in groups.columns if c not in on]
     renamed = groups.select(*[F.col(c).alias(f"__g_{c}") for c in on], *extra)
-    return rows.join(sized(renamed), _same(on), how).select(*rows.columns, *extra)
+    if counted is None:
+        table = sized(renamed)
+    else:
+        table = F.broadcast(renamed) if counted <= BROADCAST_ROWS else renamed
+    return rows.join(table, _same(on), how).select(*rows.columns, *extra)
 
 
 def _same(on: Sequence[str]) -> Column:

@@ -1,5 +1,7 @@
 """Hand-made micro tables per operator."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,14 +34,35 @@ def test_distribution_of_one_value_and_of_none(spark):
     assert got["b"] == (0, None, None, None, None, None, None, None)
 
 
-def test_quantiles_through_brackets_are_exact(spark):
-    # An accuracy far below the row count forces the bracketed path.
+@pytest.mark.parametrize("few,parts", [(10_000, 4096), (500, 16), (1, 2)])
+def test_quantiles_by_narrowing_are_exact(spark, few, parts):
+    # Few values per bucket and few parts force several passes.
     df = spark.range(20_001).select(((F.col("id") * 7919) % 20_011).cast("double").alias("x"))
     df = df.unionByName(spark.range(10_000).select(F.lit(5000.0).alias("x")))
     want = df.agg(*[F.percentile("x", p) for p in (0.05, 0.25, 0.5, 0.95)]).first()
     probabilities = {"a": 0.05, "b": 0.25, "c": 0.5, "d": 0.95}
-    got = quantiles.quantile_row(df, ["x"], probabilities, accuracy=500).first()
-    assert list(got) == pytest.approx(list(want))
+    got = quantiles.quantile_table(df, ["x"], probabilities, few=few, parts=parts).first()
+    assert [got[p] for p in probabilities] == pytest.approx(list(want))
+
+
+@pytest.mark.parametrize("few,parts", [(10_000, 4096), (3, 4)])
+def test_quantiles_of_groups_of_odd_values(spark, few, parts):
+    draw = random.Random(few)
+    odd = [0.0, -0.0, 1e-310, -1e300, 1e300, float("nan"), None, 5.0, 5.0]
+    values = [(draw.choice(["a", "b", None]), draw.choice([*odd, draw.gauss(0, 1), draw.gauss(1e6, 1)])) for _ in range(2000)]
+    values += [("c", float("inf")), ("c", float("-inf")), ("c", 2.0), ("d", 1.0), ("e", None)]
+    df = spark.createDataFrame(values, "g string, x double")
+    probabilities = {"low": 0.05, "half": 0.5, "most": 0.93, "all": 1.0}
+    got = {r.g: r for r in quantiles.quantile_table(df, ["x"], probabilities, by=["g"], few=few, parts=parts).collect()}
+    assert set(got) == {"a", "b", "c", "d", None}
+    for group in ("a", "b", "d", None):
+        x = sorted(v for g, v in values if g == group and v is not None and v == v)
+        assert got[group].n == len(x)
+        for name, p in probabilities.items():
+            at = (len(x) - 1) * p
+            below, part = x[int(at)], at - int(at)
+            assert got[group][name] == (below if part == 0 else below + (x[int(at) + 1] - below) * part)
+    assert got["c"].half == 2.0 and got["c"]["all"] == float("inf")
 
 
 def test_semantic_types_of_named_columns(spark):
