@@ -6,22 +6,28 @@ at or above the threshold. A removed row removes nothing.
 
 Copies are folded first: rows of a block with the same name and id share their
 fate, so only one entry per (block, name, id) is compared, counted with a
-map-side combine. Entries are then settled in rounds. Each round takes the
-first ``ROUND_ROWS`` undecided entries of every block, settles them among
-themselves, and removes what the kept ones match from the rest of the block,
-which is spread over tasks by a salt. No pairs are written out, no group is
-larger than a fixed number of rows, and the result is that of the row-by-row
-procedure for blocks of any size.
+map-side combine. The first ``ROUND_ROWS`` entries of a block are walked in order; what
+the kept ones match is removed from the rest of the block, which is dealt into tiles.
+Entries of large blocks that are still undecided then look, tile by tile and all at once,
+for their first partner: the earliest entry that matches and is not removed. An entry
+without one is kept; one whose first partner is kept is removed by it; one whose first
+partner is removed looks on behind it; all others wait. Rounds therefore follow the longest chain
+of partners, not the size of a block, no two entries are compared twice, a round
+writes one row per entry, and the result is that of the row-by-row procedure.
+
+Edit distance and term weights are compared by Spark expressions. The ratio needs Python; it is
+computed only for pairs whose lengths and character counts allow the threshold.
 """
 
 from __future__ import annotations
 
-from collections import namedtuple
-from collections.abc import Callable, Iterable, Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +48,8 @@ SIGNATURE_FORMATS = {
 }
 
 ROUND_ROWS = 256
-SALT_ROWS = 4_096
+TILE_ROWS = 1_024
+CHARACTER_BUCKETS = 64
 
 
 def compared_columns(df: DataFrame, key: str) -> list[str]:
@@ -132,70 +139,173 @@ def block_summary(df: DataFrame, columns: Columns | None = None) -> DataFrame:
     )
 
 
-def ratio_matcher(later: str, threshold: float) -> Callable[[str], float | None]:
-    """Ratcliff/Obershelp similarity of earlier texts to ``later``, where it reaches the threshold.
+def character_counts(text: str) -> np.ndarray:
+    """Characters counted in a fixed number of buckets, so that common counts are never below the true ones."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.bincount(points % CHARACTER_BUCKETS, minlength=CHARACTER_BUCKETS)
 
-    The index over ``later`` is built once; both quick figures are upper
-    bounds of the ratio, so they only save work.
+
+class Pool:
+    """Entries in order, searched for the first one that an entry matches.
+
+    Equal ids and names come from tables. The Ratcliff/Obershelp ratio of an earlier and a later text
+    is twice the matched characters over all characters, at most ``2 * common / (length + length)``; it is
+    computed only where that reaches the threshold.
+    """
+
+    def __init__(self, threshold: float, fuzzy: bool):
+        self.threshold, self.fuzzy, self.computed = threshold, fuzzy, 0
+        self.ords: list[int] = []
+        self.texts: list[str] = []
+        self.by_id: dict[str, list[int]] = {}
+        self.by_name: dict[str, list[int]] = {}
+        self.counts = np.zeros((16, CHARACTER_BUCKETS), dtype=np.int64)
+        self.lengths = np.zeros(16, dtype=np.int64)
+
+    def add(self, entry) -> None:
+        at = len(self.ords)
+        if at == len(self.counts):
+            self.counts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.counts, self.lengths))
+        self.ords.append(entry["ord"])
+        self.texts.append(entry["text"])
+        if entry["id"] is not None:
+            self.by_id.setdefault(entry["id"], []).append(at)
+        self.by_name.setdefault(entry["cname"], []).append(at)
+        if self.fuzzy:
+            self.counts[at], self.lengths[at] = character_counts(entry["text"]), len(entry["text"])
+
+    def first(self, entry, start: int, stop: int) -> dict | None:
+        """The first of the entries ``start`` to ``stop`` that matches."""
+        equal = stop
+        for places in (self.by_name.get(entry["cname"]), self.by_id.get(entry["id"]) if entry["id"] is not None else None):
+            if places and (i := bisect_left(places, start)) < len(places):
+                equal = min(equal, places[i])
+        if self.fuzzy and equal > start:
+            text, counts = entry["text"], character_counts(entry["text"])
+            common = np.minimum(self.counts[start:equal], counts).sum(axis=1)
+            most = 2.0 * common / np.maximum(self.lengths[start:equal] + len(text), 1)
+            possible = np.flatnonzero((most >= self.threshold) | (self.lengths[start:equal] + len(text) == 0))
+            if len(possible):
+                matcher = SequenceMatcher()
+                matcher.set_seq2(text)
+                for i in possible:
+                    matcher.set_seq1(self.texts[start + i])
+                    self.computed += 1
+                    if (found := matcher.ratio()) >= self.threshold:
+                        return {"ord": entry["ord"], "kept_ord": self.ords[start + i], "kind": "fuzzy", "similarity": found}
+        return {"ord": entry["ord"], "kept_ord": self.ords[equal], "kind": "exact", "similarity": None} if equal < stop else None
+
+
+VERDICT = "ord bigint, kept_ord bigint, kind string, similarity double"
+
+
+def _open(entry) -> dict:
+    return {"ord": entry["ord"], "kept_ord": None, "kind": None, "similarity": None}
+
+
+@dataclass(frozen=True)
+class Comparison:
+    """How entries are compared, on arrays of entries in order.
+
+    ``walk(entries)`` gives the verdict of the row-by-row procedure for each; ``scan(pool, entries)`` the first entry
+    of the pool that each entry matches, among those before it and behind its ``after``.
     """
-    matcher = SequenceMatcher()
-    matcher.set_seq2(later)
 
-    def score(earlier: str) -> float | None:
-        matcher.set_seq1(earlier)
-        if matcher.real_quick_ratio() < threshold or matcher.quick_ratio() < threshold:
-            return None
-        found = matcher.ratio()
-        return found if found >= threshold else None
+    walk: Callable[[str], Column]
+    scan: Callable[[str, str], Column]
+
+
+def ratio_comparison(threshold: float, fuzzy: bool = True) -> Comparison:
+    @F.pandas_udf(f"array<struct<{VERDICT}>>")
+    def walk(blocks: pd.Series) -> pd.Series:
+        def one(entries):
+            pool, out = Pool(threshold, fuzzy), []
+            for e in entries:
+                found = pool.first(e, 0, len(pool.ords))
+                if found is None:
+                    pool.add(e)
+                out.append(found or _open(e))
+            return out
+
+        return blocks.map(one)
+
+    @F.pandas_udf(f"array<struct<{VERDICT}>>")
+    def scan(pools: pd.Series, tiles: pd.Series) -> pd.Series:
+        def one(earlier, entries):
+            pool = Pool(threshold, fuzzy)
+            for e in earlier:
+                pool.add(e)
+            return [
+                pool.first(e, bisect_right(pool.ords, e["after"]), bisect_left(pool.ords, e["ord"])) or _open(e) for e in entries
+            ]
+
+        return pd.Series([one(a, b) for a, b in zip(pools, tiles, strict=True)])
+
+    return Comparison(walk, scan)
+
+
+def expression_comparison(similarity: Callable[[Column, Column], Column], threshold: float) -> Comparison:
+    """Comparison by Spark expressions; ``similarity`` of an earlier and a later text."""
+
+    def matches(k: Column, e: Column) -> Column:
+        equal = (k["cname"] == e["cname"]) | F.coalesce(k["id"] == e["id"], F.lit(False))
+        return equal | (similarity(k["text"], e["text"]) >= threshold)
+
+    def verdict(k: Column, e: Column) -> Column:
+        equal = (k["cname"] == e["cname"]) | F.coalesce(k["id"] == e["id"], F.lit(False))
+        return F.struct(
+            e["ord"].alias("ord"),
+            k["ord"].alias("kept_ord"),
+            F.when(k["ord"].isNotNull(), F.when(equal, F.lit("exact")).otherwise(F.lit("fuzzy"))).alias("kind"),
+            F.when(~equal, similarity(k["text"], e["text"])).alias("similarity"),
+        )
 
-    return score
+    def walk(entries: str) -> Column:
+        def step(state: Column, e: Column) -> Column:
+            found = F.get(F.filter(state["kept"], lambda k: matches(k, e)), F.lit(0))
+            return F.struct(
+                F.when(found.isNull(), F.array_append(state["kept"], e)).otherwise(state["kept"]).alias("kept"),
+                F.array_append(state["found"], verdict(found, e)).alias("found"),
+            )
 
+        start = F.struct(F.slice(entries, 1, 0).alias("kept"), F.array().cast(f"array<struct<{VERDICT}>>").alias("found"))
+        return F.aggregate(entries, start, step, lambda state: state["found"])
 
-def edit_matcher(later: str, threshold: float) -> Callable[[str], float | None]:
-    """``1 - edit distance / longer length`` where it reaches the threshold."""
+    def scan(pool: str, entries: str) -> Column:
+        def first(e: Column) -> Column:
+            inside = F.filter(pool, lambda k: (k["ord"] < e["ord"]) & (k["ord"] > e["after"]) & matches(k, e))
+            return verdict(F.get(inside, F.lit(0)), e)
 
-    def score(earlier: str) -> float | None:
-        longest = max(len(earlier), len(later), 1)
-        most = next((d for d in range(longest, -1, -1) if 1 - d / longest >= threshold), -1)
-        distance = edit_distance(earlier, later, most)
-        return None if distance is None else 1 - distance / longest
+        return F.transform(entries, first)
 
-    return score
+    return Comparison(walk, scan)
 
 
-def edit_distance(a: str, b: str, most: int) -> int | None:
-    """Edit distance, or None when it exceeds ``most``; only a band of the table is filled."""
-    if abs(len(a) - len(b)) > most:
-        return None
-    far = most + 1
-    row = [j if j <= most else far for j in range(len(b) + 1)]
-    for i, x in enumerate(a, 1):
-        lo, hi = max(1, i - most), min(len(b), i + most)
-        previous = row[lo - 1]
-        row[lo - 1] = i if lo == 1 and i <= most else far
-        least = row[lo - 1]
-        for j in range(lo, hi + 1):
-            here = row[j] if j < i + most else far
-            row[j] = min(here + 1, row[j - 1] + 1, previous + (x != b[j - 1]), far)
-            previous = here
-            least = min(least, row[j])
-        if least >= far:
-            return None
-    return row[-1] if row[-1] <= most else None
+def edit_similarity(a: Column, b: Column) -> Column:
+    """``1 - edit distance / longer length``."""
+    return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-def cosine_matcher(later: Sequence, threshold: float) -> Callable[[Sequence], float | None]:
-    """Dot product of unit-length term weights where it reaches the threshold."""
-    weights = {e["term"]: e["w"] for e in later}
+def cosine_similarity(a: Column, b: Column) -> Column:
+    """Dot product of unit-length term weights, each an array of (term, w)."""
 
-    def score(earlier: Sequence) -> float | None:
-        found = sum(e["w"] * weights.get(e["term"], 0.0) for e in earlier)
-        return found if found >= threshold else None
+    def other(term: Column) -> Column:
+        return F.coalesce(F.get(F.filter(b, lambda t: t["term"] == term), F.lit(0))["w"], F.lit(0.0))
 
-    return score
+    return F.aggregate(a, F.lit(0.0), lambda total, t: total + t["w"] * other(t["term"]))
 
 
-MATCHERS: dict[str, Callable] = {"ratio": ratio_matcher, "levenshtein": edit_matcher, "tfidf": cosine_matcher}
+def comparison(method: str, threshold: float) -> Comparison:
+    """``ratio``, ``levenshtein``, ``tfidf``, or ``exact`` for equal ids and names only."""
+    if method == "levenshtein":
+        return expression_comparison(edit_similarity, threshold)
+    if method == "tfidf":
+        return expression_comparison(cosine_similarity, threshold)
+    if method == "exact":
+        return expression_comparison(lambda a, b: F.lit(-1.0), 0.0)
+    if method == "ratio":
+        return ratio_comparison(threshold)
+    raise ValueError(f"unknown method {method!r}")
 
 
 def name_weights(df: DataFrame, name: Column) -> DataFrame:
@@ -223,107 +333,110 @@ def name_weights(df: DataFrame, name: Column) -> DataFrame:
     return packed.select("cname", F.sort_array(unit).alias("weights"))
 
 
-Entry = namedtuple("Entry", ["ord", "id", "cname", "text"])
 # Ids and hosts travel as text: exact in pandas, also beside nulls.
-ENTRY = "block_host string, block_lat double, block_lon double, ord bigint, id string, cname string"
+BASE = [*BLOCK, "ord", "id", "cname", "text"]
+BEFORE_ALL = -(1 << 63)
+
+
+def _tiles(entries: DataFrame, sizes: DataFrame, name: str, tiles: str, counted: int, *more: str) -> DataFrame:
+    """Entries of a block as ``tiles`` arrays in order, numbered ``name``; about ``TILE_ROWS`` entries in each."""
+    dealt = lookup_groups(entries, sizes.select(*BLOCK, tiles), BLOCK, "inner", counted)
+    dealt = dealt.withColumn(name, F.pmod(F.xxhash64("ord"), F.col(tiles)).cast("int"))
+    rows = F.sort_array(F.collect_list(F.struct("ord", "id", "cname", "text", *more)))
+    return dealt.groupBy(*BLOCK, name).agg(rows.alias(f"{name}_rows"))
 
 
-def _walk(rows: Iterable, leaders: Iterable, threshold: float, method: str, grow: bool) -> list[tuple]:
-    """Walk entries in order; each falls to the first kept entry matching it, else it is kept when ``grow``.
+def _scanned(pool: DataFrame, entries: DataFrame, compare: Comparison) -> DataFrame:
+    """First match of each entry in the pool of its block: ``*BLOCK, ord, kept_ord, kind, similarity``, entries without one left out.
 
-    Gives ``(ord, kept_ord, kind, similarity)`` per entry.
+    Pool and entries are dealt into tiles; every two tiles of a block meet in a row of their own, so a large block is spread
+    over all tasks and a row holds two tiles at most.
     """
-    kept: list = []
-    by_id: dict = {}
-    by_name: dict = {}
-
-    def keep(entry) -> None:
-        if not pd.isna(entry.id):
-            by_id.setdefault(entry.id, len(kept))
-        by_name.setdefault(entry.cname, len(kept))
-        kept.append(entry)
-
-    for leader in leaders:
-        keep(leader)
-    verdicts = []
-    for row in rows:
-        equal = min(by_name.get(row.cname, len(kept)), len(kept) if pd.isna(row.id) else by_id.get(row.id, len(kept)))
-        by, kind, score = (kept[equal].ord, "exact", None) if equal < len(kept) else (None, None, None)
-        if method in MATCHERS:
-            match = MATCHERS[method](row.text, threshold)
-            for other in kept[:equal]:
-                found = match(other.text)
-                if found is not None:
-                    by, kind, score = other.ord, "fuzzy", found
-                    break
-        if kind is None:
-            by, kind = (row.ord, "kept") if grow else (-1, "open")
-            if grow:
-                keep(row)
-        verdicts.append((row.ord, by, kind, score))
-    return verdicts
+    count = F.ceil(F.count("*") / TILE_ROWS).cast("int")
+    sizes = entries.groupBy(*BLOCK).agg(count.alias("tiles_b"))
+    sizes = settle(sizes.join(pool.groupBy(*BLOCK).agg(count.alias("tiles_a")), BLOCK))
+    counted = sizes.count()
+    spans = {side: sizes.select(*BLOCK, side) for side in ("tiles_a", "tiles_b")}
+    left = lookup_groups(_tiles(pool, sizes, "a", "tiles_a", counted), spans["tiles_b"], BLOCK, "inner", counted)
+    left = left.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("tiles_b") - 1)))
+    right = lookup_groups(_tiles(entries, sizes, "b", "tiles_b", counted, "after"), spans["tiles_a"], BLOCK, "inner", counted)
+    right = right.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("tiles_a") - 1)))
+    met = spread(left.select(*BLOCK, "a", "b", "a_rows"), *BLOCK, "a", "b").join(
+        spread(right.select(*BLOCK, "a", "b", "b_rows"), *BLOCK, "a", "b"), [*BLOCK, "a", "b"]
+    )
+    found = met.select(*BLOCK, F.inline(compare.scan("a_rows", "b_rows"))).where("kept_ord IS NOT NULL")
+    best = F.min(F.struct("kept_ord", "kind", "similarity")).alias("best")
+    return found.groupBy(*BLOCK, "ord").agg(best).select(*BLOCK, "ord", "best.*")
+
+
+def _settled(state: DataFrame) -> DataFrame:
+    """Settled by way of the cache, whose sizes are measured: estimates of joins in a loop multiply without end."""
+    cached = state.persist()
+    cached.count()
+    out = settle(cached)
+    cached.unpersist()
+    return out
+
+
+def _states(state: DataFrame) -> dict[str, int]:
+    return {"open": 0, "behind": 0} | {r["state"]: r["count"] for r in state.groupBy("state").count().collect()}
+
+
+def _by_partners(undecided: DataFrame, compare: Comparison) -> DataFrame:
+    """Verdicts of entries among themselves: ``*BLOCK, ord, kept_ord, kind, similarity`` of the removed ones."""
+    pending = undecided.withColumn("after", F.lit(BEFORE_ALL))
+    waiting, alive = None, undecided
+    while True:
+        found = pending.select(*BASE).join(_scanned(alive, pending, compare), [*BLOCK, "ord"], "left")
+        found = found.withColumn("state", F.when(F.col("kept_ord").isNull(), F.lit("kept")).otherwise(F.lit("open")))
+        state = _settled(found if waiting is None else waiting.unionByName(found))
+        counts = _states(state)
+        while counts["open"]:
+            partner = state.select(*[F.col(b).alias(f"p_{b}") for b in BLOCK], F.col("ord").alias("p_ord"), F.col("state").alias("p_state"))
+            same = reduce(lambda a, b: a & b, [F.col(b) == F.col(f"p_{b}") for b in BLOCK])
+            joined = state.join(partner, same & (F.col("kept_ord") == F.col("p_ord")) & (F.col("state") == "open"), "left")
+            turned = F.when(F.col("p_state") == "kept", "removed").when(F.col("p_state") == "removed", "behind")
+            state = _settled(joined.withColumn("state", F.coalesce(turned, "state")).select(*state.columns))
+            before, counts = counts, _states(state)
+            if counts["open"] == before["open"]:
+                break  # what is open waits for entries that look on
+        if not counts["behind"]:
+            return state.where("state = 'removed'").select(*BLOCK, "ord", "kept_ord", "kind", "similarity")
+        waiting = state.where("state <> 'behind'")
+        pending = state.where("state = 'behind'").select(*BASE, F.col("kept_ord").alias("after"))
+        alive = state.where("state <> 'removed'").select(*BASE)
 
 
 def resolve_entries(entries: DataFrame, threshold: float, method: str = "ratio") -> DataFrame:
     """The removed entries: by which kept entry, exact or fuzzy, with which similarity.
 
-    ``entries`` has the :data:`ENTRY` columns and ``text`` (what the similarity
-    compares), one row per (block, name, id).
+    ``entries`` has the :data:`BASE` columns; ``text`` is what the similarity compares. One row per (block, name, id).
     """
-    text_type = "array<struct<term:string,w:double>>" if method == "tfidf" else "string"
-    verdict_type = "ord bigint, kept_ord bigint, kind string, similarity double"
-    base = [f.split()[0] for f in ENTRY.split(", ")] + ["text"]
-
-    @F.pandas_udf(f"array<struct<{verdict_type}>>")
-    def lead(blocks: pd.Series) -> pd.Series:
-        return blocks.map(lambda block: _walk([Entry(**e) for e in block], [], threshold, method, grow=True))
-
-    def sweep(rest: pd.DataFrame, leaders: pd.DataFrame) -> pd.DataFrame:
-        known = leaders.sort_values("ord")[base].itertuples(index=False)
-        rest = rest.sort_values("ord", ignore_index=True)
-        found = _walk(rest[base].itertuples(index=False), known, threshold, method, grow=False)
-        score = [float("nan") if v[3] is None else v[3] for v in found]
-        return rest[base].assign(kept_ord=[v[1] for v in found], kind=[v[2] for v in found], similarity=score)
-
-    undecided = entries.select(*base)
-    removed: list[DataFrame] = []
+    compare = comparison(method, threshold)
+    entries = entries.select(*BASE)
+    # The rank filter becomes a group limit in every task before the shuffle, so a block is at most ROUND_ROWS
+    # entries here; a block with a single entry has nothing to compare.
     first = Window.partitionBy(*BLOCK).orderBy("ord")
-    while True:
-        # The rank filter becomes a group limit in every task before the
-        # shuffle, so a block is at most ROUND_ROWS entries here; a block with
-        # a single entry has nothing to compare.
-        front = undecided.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") <= ROUND_ROWS)
-        blocks = front.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("ord", "id", "cname", "text"))).alias("e"))
-        walked = spread(blocks.where(F.size("e") > 1), *BLOCK).withColumn("v", lead("e"))
-        settled = settle(walked.select(*BLOCK, F.inline(F.arrays_zip("e", "v"))).select(*BLOCK, "e.*", "v.kept_ord", "v.kind", "v.similarity"))
-        removed.append(settled.where(F.col("kind") != "kept"))
-        # The last entry of a full front tells where the rest of its block begins.
-        reach = settled.groupBy(*BLOCK).agg(F.max("ord").alias("__last"), F.count("*").alias("__n"))
-        full = reach.where(F.col("__n") == ROUND_ROWS).drop("__n")
-        if full.isEmpty():
-            break
-        renamed = full.withColumnsRenamed({b: f"__{b}" for b in BLOCK})
-        later = reduce(lambda a, b: a & b, [F.col(b) == F.col(f"__{b}") for b in BLOCK])
-        rest = settle(undecided.join(renamed, later & (F.col("ord") > F.col("__last"))).select(*base))
-        sizes = settle(rest.groupBy(*BLOCK).agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("__salts")))
-        salted = rest.join(sizes, BLOCK).withColumn("__salt", F.pmod(F.xxhash64("ord"), "__salts").cast("int"))
-        leaders = (
-            settled.where(F.col("kind") == "kept")
-            .join(sizes, BLOCK)
-            .select(*base, F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt"))
-        )
-        swept = settle(
-            spread(salted, *BLOCK, "__salt")
-            .groupBy(*BLOCK, "__salt")
-            .cogroup(spread(leaders.toDF(*leaders.columns), *BLOCK, "__salt").groupBy(*BLOCK, "__salt"))
-            .applyInPandas(sweep, f"{ENTRY}, text {text_type}, kept_ord bigint, kind string, similarity double")
-        )
-        removed.append(swept.where(F.col("kind") != "open"))
-        undecided = swept.where(F.col("kind") == "open").select(*base)
-        if undecided.isEmpty():
-            break
-    score = F.when(~F.isnan("similarity"), F.col("similarity"))
-    return reduce(DataFrame.unionByName, removed).select("ord", "kept_ord", "kind", score.alias("similarity"))
+    front = entries.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") <= ROUND_ROWS)
+    blocks = front.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("ord", "id", "cname", "text"))).alias("e"))
+    walked = spread(blocks.where(F.size("e") > 1), *BLOCK).withColumn("v", compare.walk("e"))
+    pairs = walked.select(*BLOCK, F.size("e").alias("entries"), F.inline(F.arrays_zip("e", "v")))
+    settled = settle(pairs.select(*BLOCK, "entries", "e.*", "v.kept_ord", "v.kind", "v.similarity"))
+    verdict = ["ord", "kept_ord", "kind", "similarity"]
+    removed = [settled.where("kept_ord IS NOT NULL").select(*verdict)]
+    # The last entry of a full front tells where the rest of its block begins.
+    full = settled.where(F.col("entries") == ROUND_ROWS).groupBy(*BLOCK).agg(F.max("ord").alias("__last"))
+    large = full.count()
+    if large:
+        rest = lookup_groups(entries, full, BLOCK, "inner", large)
+        rest = settle(rest.where(F.col("ord") > F.col("__last")).select(*BASE))
+        leaders = settled.where((F.col("entries") == ROUND_ROWS) & F.col("kept_ord").isNull()).select(*BASE)
+        swept = settle(_scanned(leaders, rest.withColumn("after", F.lit(BEFORE_ALL)), compare))
+        removed.append(swept.select(*verdict))
+        undecided = settle(rest.join(swept.select(*BLOCK, "ord"), [*BLOCK, "ord"], "left_anti"))
+        if not undecided.isEmpty():
+            removed.append(_by_partners(undecided, compare).select(*verdict))
+    return reduce(DataFrame.unionByName, removed)
 
 
 def duplicate_log(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.numeric import as_double, count_where, is_missing, is_numeric, is_text, percent
 from plumbline.functions.quantiles import quantile_row, quantile_table
 from plumbline.functions.scalars import attach
-from plumbline.functions.text import strip
+from plumbline.functions.text import SPACE, strip
 from plumbline.operators.dedup import row_signature
 from plumbline.session import settle
 
@@ -278,45 +278,84 @@ MIXED_EXEMPT = ["property_type", "room_type", "source", "neighbourhood_cleansed"
 DATE_SHAPE = r"^(\d{2}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2})$"
 
 
+def has_few_values(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
+    """The columns with fewer than ``limit`` distinct present values; exact, and no cell of the others is shuffled.
+
+    One scan marks each value's place in a bitmap of 64; ``limit`` marks prove as many values. Only columns with
+    fewer marks, which have few values, are then counted value by value. One row passes the driver.
+    """
+    columns = list(columns)
+    if not columns:
+        return set()
+    if limit > 64:
+        raise ValueError("a bitmap proves 64 values at most")
+    marks = cells(df.select(*columns)).where(F.col("value").isNotNull())
+    marks = marks.groupBy("column").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1L, CAST(pmod(xxhash64(value), 64) AS INT))"))).alias("marks"))
+    many = {r["column"] for r in marks.where(F.col("marks") >= limit).collect()}
+    open_ = [c for c in columns if c not in many]
+    if not open_:
+        return set()
+    values = cells(df.select(*open_)).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("c"))
+    more = values.groupBy("column").agg(F.count("*").alias("n")).where(F.col("n") >= limit)
+    return set(open_) - {r["column"] for r in more.collect()}
+
+
+#: Rows looked at first for the values that a column begins with, and how many of them are reported or judged.
+EARLY_ROWS = 1_000
+SAMPLES, HEAD = 3, 10
+
+
 def column_facts(df: DataFrame, key: str) -> DataFrame:
     """One row of facts per column, enough to decide type, mixture and samples.
 
-    Values are grouped before any pattern runs, so the work per column grows
-    with its distinct values. ``head`` looks at the ten first rows by ``key``;
-    the window keeps ten rows per column in each task before the shuffle.
+    Facts are one aggregate over the cells; distinct values are counted by two 64-bit hashes, so texts are not
+    shuffled. What a column begins with comes from the first rows by ``key``; a column that shows too
+    little there (sparse, or nearly constant) is looked up whole.
     """
+    names = _without(df, key)
+    kinds = {c: "number" if is_numeric(df, c) else "text" if is_text(df, c) else "other" for c in names}
     long = cells(df, key).where(F.col("value").isNotNull())
-    # Read for the facts and again for the samples.
-    values = settle(long.groupBy("column", "value").agg(F.count("*").alias("c"), F.min(key).alias("at")))
-    v = strip(F.col("value"))
-    length = F.length("value")
-    facts = values.groupBy("column").agg(
-        F.sum("c").alias("non_null_count"),
-        F.count("*").alias("unique_count"),
-        (F.sum(length * F.col("c")) / F.sum("c")).alias("mean_length"),
-        F.bool_or(v.rlike(r"^[$€£]") | v.contains("%")).alias("has_mark"),
-        F.bool_or(v.rlike(r"\p{Nd}")).alias("has_digit"),
-        F.bool_or(v.rlike(r"[a-zA-Z]")).alias("has_letter"),
-        F.bool_or(F.lower(v).contains("half")).alias("has_half"),
+    value = F.col("value")
+    facts = long.groupBy("column").agg(
+        F.count("*").alias("non_null_count"),
+        F.avg(F.length(value)).alias("mean_length"),
+        F.bool_or(value.rlike(f"^{SPACE}*[$€£]") | value.contains("%")).alias("has_mark"),
+        F.bool_or(value.rlike(r"\p{Nd}")).alias("has_digit"),
+        F.bool_or(value.rlike(r"[a-zA-Z]")).alias("has_letter"),
+        F.bool_or(F.lower(value).contains("half")).alias("has_half"),
     )
+    hashed = long.select("column", F.xxhash64("value").alias("a"), F.xxhash64(F.lit(1), "value").alias("b")).distinct()
+    facts = settle(facts.join(hashed.groupBy("column").agg(F.count("*").alias("unique_count")), "column"))  # one row per column
+    counted = {r["column"]: r for r in facts.select("column", "non_null_count", "unique_count").collect()}
+
+    early = settle(cells(df.orderBy(key).limit(EARLY_ROWS), key).where(F.col("value").isNotNull()))
+    seen = {r["column"]: r for r in early.groupBy("column").agg(F.count("*").alias("n"), F.count_distinct("value").alias("d")).collect()}
+
+    def short(number: str, enough: int, of: str) -> list[str]:
+        """Columns whose early rows show too little of what they hold."""
+        found = {c: seen[c][number] if c in seen else 0 for c in counted}
+        return [c for c in counted if found[c] < min(enough, counted[c][of])]
+
+    texts = [c for c in short("n", HEAD, "non_null_count") if kinds[c] == "text"]
+    judged = early.where(~F.col("column").isin(texts))
+    if texts:
+        judged = judged.unionByName(cells(df.select(key, *texts), key).where(F.col("value").isNotNull()))
     by_key = Window.partitionBy("column").orderBy(key)
-    head = long.withColumn("rn", F.row_number().over(by_key)).where(F.col("rn") <= 10)
-    head = head.groupBy("column").agg(
-        F.bool_and(strip(F.col("value")).rlike("^https?://")).alias("head_is_url"),
-        F.min_by(strip(F.col("value")), "rn").alias("first_value"),
-    )
-    by_first = Window.partitionBy("column").orderBy("at")
-    sample = values.withColumn("rn", F.row_number().over(by_first)).where(F.col("rn") <= 3)
-    sample = sample.groupBy("column").agg(
-        *[F.max(F.when(F.col("rn") == i, F.col("value"))).alias(f"sample_{i}") for i in (1, 2, 3)]
-    )
-    # The three tables have one row per column; the frame of names keeps columns without values.
-    names = _without(df, key)
+    head = judged.withColumn("rn", F.row_number().over(by_key)).where(F.col("rn") <= HEAD)
+    head = head.groupBy("column").agg(F.bool_and(strip(F.col("value")).rlike("^https?://")).alias("head_is_url"))
+
+    rare = short("d", SAMPLES, "unique_count")
+    known = early.where(~F.col("column").isin(rare)).groupBy("column", "value").agg(F.min(key).alias("at"))
+    ranked = known.withColumn("rn", F.row_number().over(Window.partitionBy("column").orderBy("at")))
+    sample = ranked.groupBy("column").agg(*[F.max(F.when(F.col("rn") == i, F.col("value"))).alias(f"sample_{i}") for i in (1, 2, 3)])
+    if rare:
+        sample = sample.unionByName(_first_samples(df, key, rare))
+    sample = sample.withColumn("first_value", strip(F.col("sample_1")))
+    # The tables have one row per column; the frame of names keeps columns without values.
     base = df.agg(F.count("*").alias("total_rows")).select(
         "total_rows", F.explode(F.array(*[F.lit(c) for c in names])).alias("column")
     )
     types = {c: df.schema[c].dataType.simpleString() for c in names}
-    kinds = {c: "number" if is_numeric(df, c) else "text" if is_text(df, c) else "other" for c in names}
     out = base
     for part in (facts, head, sample):
         out = out.join(F.broadcast(part), "column", "left")
@@ -330,6 +369,18 @@ def column_facts(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _first_samples(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Three values by first appearance: each the earliest value that differs from those before it."""
+    long = cells(df.select(key, *columns), key).where(F.col("value").isNotNull())
+    found = settle(long.groupBy("column").agg(F.min_by("value", key).alias("sample_1")))
+    for i in (2, 3):
+        known = [F.coalesce(F.col("value") == F.col(f"sample_{j}"), F.lit(False)) for j in range(1, i)]
+        rest = long.join(F.broadcast(found), "column").where(~reduce(lambda a, b: a | b, known))  # one row per column
+        following = rest.groupBy("column").agg(F.min_by("value", key).alias(f"sample_{i}"))
+        found = settle(found.join(F.broadcast(following), "column", "left"))
+    return found
+
+
 def semantic_type() -> Column:
     """Decision list over the columns of :func:`column_facts`; first match wins."""
     name = F.lower("column")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import as_double, count_where, is_numeric, is_text, parse_number
-from plumbline.operators.profile import column_profile
+from plumbline.operators.profile import cells, has_few_values
 from plumbline.sources.files import SPEC_SCHEMA
 
 # The specification of the key columns. Fields: expected type,
@@ -27,22 +27,31 @@ KEY_COLUMN_SPECS = {
     "license": ("string", "text", False, None, None, None, None, None),
 }
 KEY_COLUMNS = list(KEY_COLUMN_SPECS)
+FEW = 10
 
 
 def infer_schema(df: DataFrame, key: str | None = None, key_specs: dict | None = None) -> DataFrame:
     """One specification row per column.
 
     Columns named in ``key_specs`` take their fixed row, the others are typed
-    from their Spark type, their distinct count and their nulls.
+    from their Spark type, their nulls and whether they have fewer than ``FEW`` distinct values.
     """
     specs = KEY_COLUMN_SPECS if key_specs is None else key_specs
     spark = df.sparkSession
     fixed = spark.createDataFrame([(c, *spec, True) for c, spec in specs.items()], SPEC_SCHEMA)
-    profile = column_profile(df, key)
-    nullable = F.col("missing_count") > 0
+    names = [c for c in df.columns if c != key]
+    dtypes = {c: df.schema[c].dataType.simpleString() for c in names}
+    counts = cells(df, key).groupBy("column").agg((F.count("*") - F.count("value")).alias("missing"))
+    missing = {r["column"]: r["missing"] for r in counts.collect()}  # one row per column
+    asked = [c for c in names if c not in specs and not is_numeric(df, c) and not missing.get(c)]
+    categories = has_few_values(df, asked, FEW) if missing else set()
+    profile = spark.createDataFrame(
+        [(c, dtypes[c], bool(missing[c]), c in categories) for c in names if c in missing], "column string, dtype string, nullable boolean, few boolean"
+    )
+    nullable = F.col("nullable")
     whole = F.col("dtype").isin("tinyint", "smallint", "int", "bigint")
     real = F.col("dtype").isin("float", "double") | F.col("dtype").startswith("decimal")
-    few = (F.col("unique_count") < 10) & ~nullable
+    few = F.col("few")
 
     def pick(integer: str, number: str, category: str, other: str) -> Column:
         return F.when(whole, integer).when(real, number).when(few, category).otherwise(other)

@@ -55,40 +55,6 @@ def test_repeated_rows_share_their_outlier_factor(spark):
     assert all(got[i] == pytest.approx(1.0) for i in range(60))
 
 
-def kept_first(pdf, threshold):
-    """Row-by-row procedure inside one block."""
-    kept, removed = [], set()
-    for row in pdf.sort_values("row_id").itertuples():
-        for other in kept:
-            a, b = other.name.lower().strip(), row.name.lower().strip()
-            if other.id == row.id or a == b or SequenceMatcher(None, a, b).ratio() >= threshold:
-                removed.add((int(row.row_id), int(other.row_id)))
-                break
-        else:
-            kept.append(row)
-    return removed
-
-
-def test_hot_block_is_settled_in_rounds(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "ROUND_ROWS", 40)
-    monkeypatch.setattr(dedup, "SALT_ROWS", 25)
-    draw = np.random.default_rng(5)
-    words = np.array("oak elm park view loft suite cozy big old red".split())
-    n = 110
-    pdf = pd.DataFrame(
-        {
-            "row_id": draw.permutation(n) + 1,
-            "id": draw.integers(0, 100, n),
-            "host_id": np.ones(n, dtype="int64"),
-            "latitude": 42.6,
-            "longitude": -73.7,
-            "name": [" ".join(draw.choice(words, 3)) + f" {draw.integers(0, 99)}" for _ in range(n)],
-        }
-    )
-    log = dedup.duplicate_log(spark.createDataFrame(pdf), "row_id", 0.85).collect()
-    assert {(r["removed_key"], r["retained_key"]) for r in log} == kept_first(pdf, 0.85)
-
-
 def test_removed_rows_remove_nothing(spark):
     # a ~ b and b ~ c, but not a ~ c: a and c stay.
     names = ["aaaa bbbb", "aaaa bbbb cccc", "bbbb cccc dddd"]
@@ -96,12 +62,3 @@ def test_removed_rows_remove_nothing(spark):
     df = spark.createDataFrame(data, "row_id long, id long, host_id long, latitude double, longitude double, name string")
     kept, _ = dedup.deduplicate(df, "row_id", threshold=0.65)
     assert sorted(r["row_id"] for r in kept.collect()) == [1, 3]
-
-
-def test_ratio_keeps_the_published_figures():
-    assert dedup.ratio_matcher("rowhouse 18 - 1bdr park south", 0.0)("rowhouse 23 studio") == pytest.approx(0.5106383)
-
-
-def test_edit_distance_band():
-    assert dedup.edit_distance("kitten", "sitting", 3) == 3
-    assert dedup.edit_distance("kitten", "sitting", 2) is None
