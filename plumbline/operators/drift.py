@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.numeric import as_double, count_where, is_text
 from plumbline.functions.quantiles import long_values, quantile_row, quantile_table
@@ -19,6 +23,7 @@ DRIFT_COLUMNS = ["price", "minimum_nights", "availability_365", "number_of_revie
 MIN_DATES = 20
 MIN_SIDE = 5
 ALPHA = 0.05
+EXACT_ROWS = 10_000  # most rows of a sample for which the p-value is exact
 
 
 def date_micros(df: DataFrame, column: str) -> Column:
@@ -58,6 +63,41 @@ def kolmogorov_p(statistic: Column, n1: Column, n2: Column, terms: int = 100) ->
     return F.when(scale < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
+def lattice_p(statistic: float, n1: int, n2: int) -> float:
+    """Exact two-sided p-value of the two-sample KS statistic.
+
+    Under the hypothesis all orders of the two samples are alike, so the pooled rows draw from the sample that has more
+    left with that chance. The chance of each state (rows drawn from the smaller sample) is carried forward
+    draw by draw; the p-value is what leaves the band in which the distance is below the statistic.
+    """
+    few, many = sorted((int(n1), int(n2)))
+    both, shared = few + many, math.gcd(few, many)
+    reach = round(statistic * (few // shared * many)) * shared  # of |both * i - few * t|, i of t draws from the smaller
+    if reach == 0:
+        return 1.0
+    low, chance, left = 0, np.ones(1), 0.0
+    for t in range(1, both + 1):
+        i = np.arange(low, low + len(chance))
+        rest = both - t + 1
+        new = np.zeros(len(chance) + 1)
+        new[:-1] = chance * (many - (t - 1 - i)) / rest
+        new[1:] += chance * (few - i) / rest
+        first = max(low, (few * t - reach) // both + 1)
+        end = min(low + len(new), (few * t + reach - 1) // both + 1)
+        if first >= end:
+            return 1.0
+        left += new[: first - low].sum() + new[end - low :].sum()
+        low, chance = first, new[first - low : end - low]
+    return min(left, 1.0)
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_p(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    """:func:`lattice_p` of one row per column; null for samples of more than ``EXACT_ROWS``."""
+    rows = zip(statistic, n1, n2, strict=True)
+    return pd.Series([lattice_p(d, a, b) if max(a, b) <= EXACT_ROWS else None for d, a, b in rows], dtype="float64")
+
+
 def cohort_counts(tagged: DataFrame, columns: Sequence[str], cohort: str = "cohort") -> DataFrame:
     """Rows of each cohort per (column, value), settled.
 
@@ -76,7 +116,8 @@ def cohort_counts(tagged: DataFrame, columns: Sequence[str], cohort: str = "coho
 def drift_between(tagged: DataFrame, columns: Sequence[str], cohort: str = "cohort") -> DataFrame:
     """Drift of each column between cohort 1 and cohort 2.
 
-    Columns with five values or fewer on a side are left out.
+    Columns with five values or fewer on a side are left out. P-values are exact for samples of up to
+    ``EXACT_ROWS`` rows, asymptotic beyond.
     """
     totals = cohort_counts(tagged, [c for c in columns if c in tagged.columns], cohort)
     counted = totals.groupBy("column").agg(
@@ -93,7 +134,8 @@ def drift_between(tagged: DataFrame, columns: Sequence[str], cohort: str = "coho
     measured = steps.groupBy("column", "n1", "n2", "m1", "m2").agg(
         F.max(gap).alias("ks"), F.sum(gap * width).alias("w")
     )
-    p = kolmogorov_p(F.col("ks"), F.col("n1"), F.col("n2"))
+    measured = measured.withColumn("exact", exact_p("ks", "n1", "n2"))
+    p = F.coalesce("exact", kolmogorov_p(F.col("ks"), F.col("n1"), F.col("n2")))
     return measured.select(
         "column",
         F.round("ks", 4).alias("ks_statistic"),

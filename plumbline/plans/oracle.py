@@ -775,22 +775,36 @@ ORACLE_SQL["iqr_outliers"] = union(
 # Drift
 
 
+# Chances of the states of two samples of up to 10,000 rows, drawn in a random order, while their distance is below the statistic.
+KS_PATHS = (
+    "sized AS (SELECT *, CAST(round(ks * (few // gcd(few, many) * many)) AS BIGINT) * gcd(few, many) AS h "
+    "FROM (SELECT ks, least(n1, n2) AS few, greatest(n1, n2) AS many FROM m) WHERE few > 0 AND many <= 10000), "
+    "path AS (SELECT few, many, h, 0::BIGINT AS t, 0::BIGINT AS i, 1.0::DOUBLE AS p FROM sized WHERE h > 0 UNION ALL "
+    "SELECT few, many, h, t, i, sum(p) AS p FROM ("
+    "SELECT few, many, h, t + 1 AS t, i + side AS i, p * CASE side WHEN 1 THEN few - i ELSE many - (t - i) END / (few + many - t) AS p "
+    "FROM path, (VALUES (0::BIGINT), (1::BIGINT)) sides(side) WHERE t < few + many"
+    ") WHERE abs((few + many) * i - few * t) < h GROUP BY few, many, h, t, i)"
+)
+
+
 def drift_sql(tagged: str, columns: dict[str, str]) -> str:
     """``tagged`` is a relation with a ``cohort`` column; columns map name to expression."""
     parts = []
     for c, e in columns.items():
         parts.append(
-            f"(WITH v AS (SELECT CAST({e} AS DOUBLE) AS value, cohort FROM {tagged} WHERE cohort IS NOT NULL AND {e} IS NOT NULL), "
+            f"(WITH RECURSIVE v AS (SELECT CAST({e} AS DOUBLE) AS value, cohort FROM {tagged} WHERE cohort IS NOT NULL AND {e} IS NOT NULL), "
             "s AS (SELECT count(CASE WHEN cohort = 1 THEN 1 END) AS n1, count(CASE WHEN cohort = 2 THEN 1 END) AS n2, "
             "avg(CASE WHEN cohort = 1 THEN value END) AS m1, avg(CASE WHEN cohort = 2 THEN value END) AS m2 FROM v), "
             "g AS (SELECT value, count(CASE WHEN cohort = 1 THEN 1 END) AS a, count(CASE WHEN cohort = 2 THEN 1 END) AS b "
             "FROM v GROUP BY value), "
             "r AS (SELECT value, sum(a) OVER w AS ca, sum(b) OVER w AS cb, lead(value) OVER (ORDER BY value) - value AS width "
             "FROM g WINDOW w AS (ORDER BY value ROWS UNBOUNDED PRECEDING)), "
-            "m AS (SELECT max(abs(ca / n1 - cb / n2)) AS ks, sum(abs(ca / n1 - cb / n2) * coalesce(width, 0)) AS wd, "
+            "m AS MATERIALIZED (SELECT max(abs(ca / n1 - cb / n2)) AS ks, sum(abs(ca / n1 - cb / n2) * coalesce(width, 0)) AS wd, "
             "max(n1) AS n1, max(n2) AS n2, max(m1) AS m1, max(m2) AS m2 FROM r, s), "
+            f"{KS_PATHS}, "
             "z AS (SELECT *, ks * sqrt(CAST(n1 AS DOUBLE) * n2 / (n1 + n2)) AS lam FROM m), "
-            "p AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest((SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END "
+            "p AS (SELECT *, CASE WHEN greatest(n1, n2) <= 10000 THEN (SELECT least(greatest(1 - coalesce(sum(p), 0), 0.0), 1.0) "
+            "FROM path WHERE t = few + many) WHEN lam < 0.2 THEN 1.0 ELSE least(greatest((SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END "
             "* exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) t(j)), 0.0), 1.0) END AS pv FROM z) "
             f"SELECT '{c}' AS \"column\", round(ks, 4) AS ks_statistic, CAST(round(pv, 5) AS DOUBLE) AS p_value, "
             "round(wd, 4) AS wasserstein_distance, CASE WHEN pv < 0.05 THEN 'DRIFT_DETECTED' ELSE 'STABLE' END AS drift_status, "

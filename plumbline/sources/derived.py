@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -133,6 +135,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
+    base = spread(base, "o_orderkey")  # a file may be one split; what is derived from a row costs more than moving it
     copies = F.filter(
         F.array(
             F.lit(0),

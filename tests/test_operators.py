@@ -1,5 +1,7 @@
 """Hand-made micro tables per operator."""
 
+import itertools
+import math
 import random
 
 import pytest
@@ -211,3 +213,29 @@ def test_rules_on_a_stream(spark, tmp_path):
     query.stop()
     got = spark.sql("SELECT id FROM violations WHERE rule_id = 'R002'").collect()
     assert [r["id"] for r in got] == [1]
+
+
+@pytest.mark.parametrize("n1,n2", [(4, 5), (6, 6), (5, 7), (3, 8), (6, 4)])
+def test_exact_p_values_of_small_samples(n1, n2):
+    orders = [set(c) for c in itertools.combinations(range(n1 + n2), n1)]
+
+    def distance(first):  # of |n2 * i - n1 * j| along the order
+        i = most = 0
+        for k in range(n1 + n2):
+            i += k in first
+            most = max(most, abs(n2 * i - n1 * (k + 1 - i)))
+        return most
+
+    distances = [distance(o) for o in orders]
+    for d in sorted(set(distances)):
+        assert drift.lattice_p(d / (n1 * n2), n1, n2) == pytest.approx(sum(x >= d for x in distances) / len(distances))
+
+
+def test_exact_p_value_of_large_samples_nears_the_series(spark):
+    for n1, n2, d in ((7_400, 7_600, 0.0125), (10_000, 9_000, 0.02), (5_000, 10_000, 0.3)):
+        scale = d * math.sqrt(n1 * n2 / (n1 + n2))
+        series = sum((-1) ** (j - 1) * 2 * math.exp(-2 * j * j * scale * scale) for j in range(1, 101))
+        assert drift.lattice_p(d, n1, n2) == pytest.approx(series, abs=0.02)
+    p = drift.exact_p(F.lit(0.01), F.col("n"), F.col("n"))
+    got = spark.createDataFrame([(10_000,), (10_001,)], "n bigint").select(p.alias("p")).collect()
+    assert got[0].p is not None and got[1].p is None
