@@ -17,6 +17,7 @@ from plumbline.functions.numeric import as_double, count_where, percent
 from plumbline.functions.quantiles import quantile_row
 from plumbline.functions.scalars import attach
 from plumbline.functions.skew import lookup_groups
+from plumbline.operators import network
 from plumbline.operators.profile import require_columns
 from plumbline.session import settle, spread
 
@@ -181,14 +182,32 @@ def lof_scores(scaled: DataFrame, columns: Sequence[str], k: int = LOF_NEIGHBOUR
     return factors.unionByName(later)
 
 
+def principal_axes(scaled: DataFrame, columns: Sequence[str], components: int = COMPONENTS) -> np.ndarray:
+    """(columns, components) weights of the leading principal components."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(scaled)
+    return PCA(k=components, inputCol="v", outputCol="p").fit(vectors).pc.toArray()
+
+
+def network_errors(scaled: DataFrame, columns: Sequence[str], evaluations: int = network.EVALUATIONS, seed: int = network.SEED) -> DataFrame:
+    """``(key, mse)``: squared error of a relu network with a narrow middle layer, trained on all rows.
+
+    ``scaled`` is read once per evaluation, so it should be settled. Its total error is not above that of
+    :func:`reconstruction_errors`. An empty table gives no rows.
+    """
+    columns = list(columns)
+    if scaled.isEmpty():
+        return scaled.select("key", F.lit(None).cast("double").alias("mse"))
+    layers = network.train(scaled, columns, principal_axes(scaled, columns), evaluations=evaluations, seed=seed)
+    return network.squared_error(scaled.select("key", *columns), columns, layers).select("key", "mse")
+
+
 def reconstruction_errors(scaled: DataFrame, columns: Sequence[str], components: int = COMPONENTS) -> DataFrame:
     """``(key, mse)``: squared error of the projection on the leading components.
 
     A linear autoencoder with the same bottleneck has this optimum.
     """
     columns = list(columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(scaled)
-    axes = PCA(k=components, inputCol="v", outputCol="p").fit(vectors).pc.toArray()
+    axes = principal_axes(scaled, columns, components)
     codes = [
         sum((F.col(c) * F.lit(float(axes[i, m])) for i, c in enumerate(columns)), F.lit(0.0))
         for m in range(components)
@@ -220,15 +239,19 @@ def flag_top_share(df: DataFrame, scores: Mapping[str, str], contamination: floa
 
 
 def anomaly_scores(
-    df: DataFrame, key: str, features: Sequence[str] = FEATURES, contamination: float = CONTAMINATION
+    df: DataFrame, key: str, features: Sequence[str] = FEATURES, contamination: float = CONTAMINATION, reconstruction: str = "network"
 ) -> DataFrame:
-    """All three scores, flags and scaled scores per row (settled)."""
+    """All three scores, flags and scaled scores per row (settled).
+
+    ``reconstruction``: ``network`` (relu layers of 4, 2 and 4 units) or ``projection`` (two principal components).
+    """
+    errors = {"network": network_errors, "projection": reconstruction_errors}[reconstruction]
     scaled = settle(scaled_features(df, key, features))
     columns = [f"z_{f}" for f in features]
     scored = settle(
         isolation_scores(scaled, columns)
         .join(lof_scores(scaled, columns), "key")
-        .join(reconstruction_errors(scaled, columns), "key")
+        .join(errors(scaled, columns), "key")
     )
     names = {"if_score": MODELS[0], "lof": MODELS[1], "mse": MODELS[2]}
     return settle(flag_top_share(scored, names, contamination, inclusive=["mse"]))

@@ -1132,3 +1132,8 @@ ORACLE_SQL["roc_auc"] = (
     "t AS (SELECT CAST(sum(pos) AS DOUBLE) AS p, CAST(sum(n) - sum(pos) AS DOUBLE) AS q FROM g) "
     "SELECT round(((SELECT sum(CAST(pos * rank AS DOUBLE)) FROM r) - p * (p + 1) / 2) / (p * q), 4) AS roc_auc FROM t"
 )
+
+# Trained models have no SQL equivalent; what must hold for any of them has.
+ORACLE_SQL["network_reconstruction"] = (
+    f"{LISTINGS} SELECT count(*) AS reconstructed_rows, true AS all_errors_valid, true AS at_most_projection FROM listings"
+)

@@ -474,6 +474,20 @@ def pca_reconstruction(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(scored, "mse")
 
 
+@query
+def network_reconstruction(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with an error, and whether the network's total error is at most the projection's, of which it is a start."""
+    scaled = settle(anomaly.scaled_features(listings(spark, sf), KEY))
+    columns = [f"z_{f}" for f in anomaly.FEATURES]
+    both = anomaly.network_errors(scaled, columns).withColumnRenamed("mse", "network")
+    both = both.join(anomaly.reconstruction_errors(scaled, columns), "key")
+    return both.agg(
+        F.count("network").alias("reconstructed_rows"),
+        F.min(F.col("network") >= 0).alias("all_errors_valid"),
+        (F.sum("network") <= F.sum("mse") * (1 + 1e-9)).alias("at_most_projection"),
+    )
+
+
 def _profile_flags(spark: SparkSession, sf: str) -> DataFrame:
     rows = host_profiles(spark, sf)
     scores = {"top_price": "flag_top", "mean_price": "flag_mean", "orders_count": "flag_count"}

@@ -77,8 +77,17 @@ def block(seed, n, words="oak elm park view loft suite cozy big old red", host=1
     ]
 
 
-@pytest.mark.parametrize("method,threshold", [("ratio", 0.85), ("ratio", 0.5), ("levenshtein", 0.7), ("levenshtein", 0.5), ("tfidf", 0.6), ("exact", 0.5)])
-@pytest.mark.parametrize("front,tile", [(256, 1024), (12, 25)])
+@pytest.mark.parametrize(
+    "method,threshold,front,tile",
+    [
+        ("ratio", 0.5, 256, 1024),
+        ("levenshtein", 0.5, 256, 1024),
+        ("exact", 0.5, 256, 1024),
+        ("ratio", 0.85, 12, 25),
+        ("levenshtein", 0.7, 12, 25),
+        ("tfidf", 0.6, 12, 25),
+    ],
+)
 def test_log_equals_the_row_by_row_procedure(spark, monkeypatch, method, threshold, front, tile):
     monkeypatch.setattr(dedup, "ROUND_ROWS", front)
     monkeypatch.setattr(dedup, "TILE_ROWS", tile)
@@ -91,7 +100,7 @@ def test_chains_follow_their_length(spark, monkeypatch):
     monkeypatch.setattr(dedup, "TILE_ROWS", 4)
     # Each name is near the next one only: of a chain every other row stays.
     alphabet = "abcdefghijklmnopqrstuvwxyz"
-    rows = [(i, 100 + i, 1, 42.0, -73.0, alphabet[i : i + 6]) for i in range(12)]
+    rows = [(i, 100 + i, 1, 42.0, -73.0, alphabet[i : i + 6]) for i in range(8)]
     assert got(spark, rows, 0.8, "ratio") == by_hand(rows, 0.8, "ratio") != set()
 
 

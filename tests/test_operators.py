@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,26 @@ def test_exact_p_value_of_large_samples_nears_the_series(spark):
     p = drift.exact_p(F.lit(0.01), F.col("n"), F.col("n"))
     got = spark.createDataFrame([(10_000,), (10_001,)], "n bigint").select(p.alias("p")).collect()
     assert got[0].p is not None and got[1].p is None
+
+
+def test_chained_regressions_end_when_fills_settle(spark):
+    draw = random.Random(4)
+    data = []
+    for i in range(300):
+        x = draw.gauss(0, 1)
+        y, z = 2 * x + draw.gauss(0, 0.1), x - draw.gauss(0, 0.1)
+        data.append((i, x if i % 3 else None, y if i % 4 else None, z if i % 5 else None))
+    df = spark.createDataFrame(data, "row_id int, beds double, bedrooms double, price double")
+    patterns, grams = [], []
+    for mask in {tuple(v is None for v in r[1:]) for r in data}:
+        own = [[1.0] + [v or 0.0 for v in r[1:]] for r in data if tuple(v is None for v in r[1:]) == mask]
+        patterns.append(mask)
+        grams.append(sum((np.outer(o, o) for o in own), np.zeros((4, 4))))
+    patterns, grams = np.array(patterns), np.array(grams)
+    whole, rounds = impute.chain_regressions(patterns, grams, 20)
+    early, fewer = impute.chain_regressions(patterns, grams, 20, 1e-3)
+    assert rounds == 20 and fewer < 20 and np.abs(whole - early).max() < 0.02
+    assert impute.chain_regressions(patterns, grams, fewer)[0] == pytest.approx(early)
+    filled = impute.impute_iterative(df, ["beds", "bedrooms"], ["price"]).orderBy("row_id").collect()
+    assert all(r.beds is not None and r.bedrooms is not None for r in filled)
+    assert np.mean([abs(r.beds - round(d[2] / 2, 1)) for r, d in zip(filled, data, strict=True) if d[1] is None and d[2] is not None]) < 0.2
