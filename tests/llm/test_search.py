@@ -48,7 +48,7 @@ def got(spark, docs, items, k, **more):
     return sorted((tuple(r) for r in found.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed,block_terms", [(1, 200_000), (2, 40), (3, 1)])
+@pytest.mark.parametrize("seed,block_terms", [(1, 200_000), (2, 60)])
 def test_ranking_equals_brute_force(spark, monkeypatch, seed, block_terms):
     monkeypatch.setattr(search, "BLOCK_CELLS", 2000)
     draw = random.Random(seed)
