@@ -3,6 +3,10 @@
 One step per word. A step's input is the word's embedding (rows by hash) beside the mean embedding of
 its character n-grams (rows by hash, word borders included). Both directions run in one batched
 product; attention weighs the states of a window and a logistic unit reads their mean.
+
+States are carried through a text in blocks, each with ``CONTEXT`` words before and behind it, so a word has one
+state for all windows that hold it. What a window gives is a quotient of two sums over its words; running sums
+give it for the windows that begin at every word.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ GRAM_SIZES = (3, 4, 5)
 EMBEDDING = 8
 HIDDEN = 8
 ATTENTION = 8
+CONTEXT = 8  # words on each side that a state has seen at least, where the text has them
+BLOCK = 256
 
 #: Word bytes are 0-9, a-z and everything outside ASCII, after the text is lower-cased; all else separates.
 WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -103,12 +109,12 @@ class Vocabulary:
         return np.concatenate([weights["words"][self.rows[ids]], sums / self.sizes[ids][:, None]], axis=1).astype(np.float32)
 
 
-def forward(x: np.ndarray, w: dict[str, np.ndarray], keep: list | None = None):
-    """Logits of windows from projected inputs ``x`` (2, steps, windows, 3 * HIDDEN), already in each
-    direction's order. ``keep`` gets what the backward pass needs."""
+def states_of(x: np.ndarray, w: dict[str, np.ndarray], keep: list | None = None) -> np.ndarray:
+    """States (2, steps, sequences, HIDDEN) for projected inputs ``x`` (2, steps, sequences, 3 * HIDDEN), each direction
+    in its own order. ``keep`` gets what the backward pass needs."""
     steps, n = x.shape[1], x.shape[2]
     h = np.zeros((2, n, HIDDEN), dtype=np.float32)
-    states = np.empty((steps, n, 2 * HIDDEN), dtype=np.float32)
+    states = np.empty((2, steps, n, HIDDEN), dtype=np.float32)
     for t in range(steps):
         u = np.matmul(h, w["state"])
         gates = sigmoid(x[:, t, :, : 2 * HIDDEN] + u[..., : 2 * HIDDEN])
@@ -117,8 +123,14 @@ def forward(x: np.ndarray, w: dict[str, np.ndarray], keep: list | None = None):
         if keep is not None:
             keep.append((h, r, z, new, u[..., 2 * HIDDEN :]))
         h = new + z * (h - new)
-        states[t, :, :HIDDEN] = h[0]
-        states[steps - 1 - t, :, HIDDEN:] = h[1]
+        states[:, t] = h
+    return states
+
+
+def forward(x: np.ndarray, w: dict[str, np.ndarray], inner: slice, keep: list | None = None):
+    """Logits of windows: the words ``inner`` of sequences of equal length, the others are their context."""
+    both = states_of(x, w, keep)
+    states = np.concatenate([both[0], both[1, ::-1]], axis=-1)[inner]
     looked = np.tanh(states @ w["attend"] + w["attend_bias"])
     weight = looked @ w["query"]
     weight = np.exp(weight - weight.max(axis=0))
@@ -132,13 +144,15 @@ def project(e: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
     return np.matmul(e[None], w["input"]) + w["bias"][:, None]
 
 
-def gradients(e: np.ndarray, ids: np.ndarray, y: np.ndarray, importance: np.ndarray, w: dict[str, np.ndarray]):
-    """Loss and gradients for windows ``ids`` (windows, steps) of words with embeddings ``e``."""
+def gradients(
+    e: np.ndarray, ids: np.ndarray, y: np.ndarray, importance: np.ndarray, w: dict[str, np.ndarray], inner: slice = slice(None)
+):
+    """Loss and gradients for windows ``ids`` (windows, steps) of words with embeddings ``e``; ``inner`` steps are pooled."""
     p = project(e, w)
     order = np.stack([ids.T, ids.T[::-1]])
     x = np.stack([p[0][order[0]], p[1][order[1]]])
     kept: list = []
-    logits, (states, looked, weight, pooled) = forward(x, w, kept)
+    logits, (states, looked, weight, pooled) = forward(x, w, inner, kept)
     chance = sigmoid(logits)
     loss = -np.sum(importance * np.where(y > 0, np.log(chance + 1e-9), np.log(1 - chance + 1e-9)))
     d = ((chance - y) * importance).astype(np.float32)
@@ -150,8 +164,9 @@ def gradients(e: np.ndarray, ids: np.ndarray, y: np.ndarray, importance: np.ndar
     d_look = d_score[..., None] * w["query"] * (1 - looked**2)
     g["attend"] = np.einsum("tnd,tna->da", states, d_look)
     g["attend_bias"] = d_look.sum(axis=(0, 1))
-    d_states = weight[..., None] * d_pooled + d_look @ w["attend"].T
     steps = x.shape[1]
+    d_states = np.zeros((steps, len(y), 2 * HIDDEN), dtype=np.float32)
+    d_states[inner] = weight[..., None] * d_pooled + d_look @ w["attend"].T
     dh = np.zeros_like(kept[0][0])
     dx = np.empty_like(x)
     g["state"] = np.zeros_like(w["state"])
@@ -206,36 +221,58 @@ class Words:
         return np.split(found, np.cumsum([len(t) for t in texts])[:-1]) if texts else []
 
 
-def window_starts(words: int, width: int, stride: int) -> list[int]:
-    """Overlapping windows over all words; the last one ends with the text."""
-    if words <= width:
-        return [0] if words else []
-    starts = list(range(0, words - width, stride))
-    return [*starts, words - width]
+def blocks_of(sizes: list[int], block: int = BLOCK, context: int = CONTEXT) -> np.ndarray:
+    """(text, first word, end, first word with context, end with context) of the blocks of texts, one row each."""
+    rows = [
+        (i, first, end, max(0, first - context), min(n, end + context))
+        for i, n in enumerate(sizes)
+        for first in range(0, n, block)
+        for end in (min(n, first + block),)
+    ]
+    return np.array(rows, dtype=np.int64).reshape(-1, 5)
 
 
-def window_logits(
-    texts: list[np.ndarray], added: np.ndarray, weights: dict[str, np.ndarray], width: int, stride: int, batch: int = 1024
-) -> list[np.ndarray]:
-    """For each text (ids of its words) the logits of all its windows, none without words.
-
-    ``added`` (2, words, 3 * HIDDEN) is what a word adds to the gates. Windows of one length go through the
-    network together.
-    """
+def word_values(texts: list[np.ndarray], added: np.ndarray, w: dict[str, np.ndarray], batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """For the words of all texts (ids), one after the other: attention and what the last unit reads from the state."""
     sizes = [len(t) for t in texts]
     ids = np.concatenate([np.zeros(0, np.int64), *texts])
     bases = np.cumsum([0, *sizes])
-    starts = [np.array(window_starts(n, width, stride), dtype=np.int64) for n in sizes]
-    out = [np.zeros(len(own), dtype=np.float32) for own in starts]
-    for size in sorted({min(n, width) for n in sizes if n}):
-        texts_of = [i for i, n in enumerate(sizes) if min(n, width) == size]
-        at = np.concatenate([starts[i] + bases[i] for i in texts_of])
-        logits = np.empty(len(at), dtype=np.float32)
-        for k in range(0, len(at), batch):
-            chosen = ids[at[k : k + batch][None, :] + np.arange(size)[:, None]]
-            logits[k : k + batch] = forward(np.stack([added[0][chosen], added[1][chosen[::-1]]]), weights)[0]
-        first = 0
-        for i in texts_of:
-            out[i] = logits[first : first + len(starts[i])]
-            first += len(starts[i])
+    attention, read = np.zeros(len(ids)), np.zeros(len(ids))
+    blocks = blocks_of(sizes)
+    blocks = blocks[np.argsort(blocks[:, 4] - blocks[:, 3], kind="stable")]
+    for k in range(0, len(blocks), batch):
+        part = blocks[k : k + batch]
+        start, length = bases[part[:, 0]] + part[:, 3], part[:, 4] - part[:, 3]
+        step = np.arange(length.max())[:, None]
+        inside = step < length
+        forth = ids[np.where(inside, start + step, 0)]
+        back = ids[np.where(inside, start + length - 1 - step, 0)]
+        both = states_of(np.stack([added[0][forth], added[1][back]]), w)
+        # The backward state of the word at a step stands as far from the sequence's end.
+        turned = np.take_along_axis(both[1], np.maximum(length - 1 - step, 0)[..., None], axis=0)
+        states = np.concatenate([both[0], turned], axis=-1)
+        own = inside & (step >= part[:, 1] - part[:, 3]) & (step < part[:, 2] - part[:, 3])
+        at = (start + step)[own]
+        chosen = states[own]
+        attention[at] = np.tanh(chosen @ w["attend"] + w["attend_bias"]) @ w["query"]
+        read[at] = chosen @ w["read"]
+    return attention, read
+
+
+def window_logits(texts: list[np.ndarray], added: np.ndarray, w: dict[str, np.ndarray], width: int) -> list[np.ndarray]:
+    """For each text (ids of its words) the logits of the windows that begin at each word; one for a shorter text, none without words."""
+    attention, read = word_values(texts, added, w)
+    out, base = [], 0
+    for text in texts:
+        n = len(text)
+        own = slice(base, base + n)
+        base += n
+        if not n:
+            out.append(np.zeros(0))
+            continue
+        share = np.exp(attention[own] - attention[own].max())
+        sums = np.cumsum([np.append(0.0, share), np.append(0.0, share * read[own])], axis=1)
+        size = min(n, width)
+        whole = sums[:, size:] - sums[:, : n - size + 1]
+        out.append(whole[1] / whole[0] + w["read_bias"][0])
     return out

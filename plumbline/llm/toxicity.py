@@ -1,6 +1,6 @@
 """Toxicity: a bidirectional recurrent network over words and characters, scoring all overlapping windows.
 
-A document's score is that of its most suspicious window (``WIDTH`` words, a new one every ``STRIDE``), so a
+A document's score is that of its most suspicious window (``WIDTH`` words, one begins at every word), so a
 short insult in a long text counts. Labels belong to documents, so training alternates: windows of
 labelled documents are chosen by the present model (at first by the log-odds of their words and
 character n-grams, which also start the embeddings), then the network is fitted to them. The
@@ -28,7 +28,7 @@ from plumbline.llm import gru
 from plumbline.llm.common import filtered, once, per_text, pick
 
 WIDTH = 32
-STRIDE = 16
+APART = 16  # words between the windows of a clean document that are learned from
 POSITIVES = 1500
 NEGATIVES = 4000
 LONGEST = 20_000
@@ -71,18 +71,18 @@ class Adam:
 
 
 def train_windows(
-    weights, adam: Adam, vocabulary: gru.Vocabulary, windows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, draw
+    weights, adam: Adam, vocabulary: gru.Vocabulary, windows: list[tuple], labels: np.ndarray, importance: np.ndarray, draw
 ) -> None:
-    """One epoch over windows of word ids; batches hold windows of one length."""
-    by_size: dict[int, list[int]] = {}
+    """One epoch over windows ``(word ids with context, first, end)``; batches hold windows of one shape."""
+    by_shape: dict[tuple, list[int]] = {}
     for i in draw.permutation(len(windows)):
-        by_size.setdefault(len(windows[i]), []).append(i)
-    batches = [rows[k : k + BATCH] for rows in by_size.values() for k in range(0, len(rows), BATCH)]
+        by_shape.setdefault((len(windows[i][0]), *windows[i][1:]), []).append(i)
+    batches = [(slice(*shape[1:]), rows[k : k + BATCH]) for shape, rows in by_shape.items() for k in range(0, len(rows), BATCH)]
     for b in draw.permutation(len(batches)):
-        chosen = batches[b]
-        words, ids = np.unique(np.stack([windows[i] for i in chosen]), return_inverse=True)
+        inner, chosen = batches[b]
+        words, ids = np.unique(np.stack([windows[i][0] for i in chosen]), return_inverse=True)
         e = vocabulary.embed(words, weights)
-        _, g, d_e = gru.gradients(e, ids.reshape(len(chosen), -1), labels[chosen], importance[chosen] / len(chosen), weights)
+        _, g, d_e = gru.gradients(e, ids.reshape(len(chosen), -1), labels[chosen], importance[chosen] / len(chosen), weights, inner)
         adam.t += 1
         for name, value in g.items():
             adam.step(name, value)
@@ -94,6 +94,21 @@ def train_windows(
             adam.step(name, gru._sum_rows(inverse, values, len(used)), used)
 
 
+def with_context(words: np.ndarray, start: int) -> tuple[np.ndarray, int, int]:
+    """The window that begins at ``start`` with the words around it, and where it lies among them."""
+    first, end = max(0, start - gru.CONTEXT), min(len(words), start + WIDTH)
+    return words[first : end + gru.CONTEXT], start - first, end - first
+
+
+def apart(suspicion: np.ndarray, most: int) -> list[int]:
+    """The most suspicious windows, at least ``APART`` words from each other."""
+    left, out = suspicion.copy(), []
+    while len(out) < most and np.isfinite(left.max()):
+        out.append(int(left.argmax()))
+        left[max(0, out[-1] - APART + 1) : out[-1] + APART] = -np.inf
+    return out
+
+
 def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
     """A model of labelled texts; every fifth is kept back to set the threshold."""
     numbers: dict[bytes, int] = {}
@@ -120,24 +135,26 @@ def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
     weights["words"][:, 0] += word_odds / 2
     weights["grams"][:, 0] += gram_odds / 2
 
-    starts = [gru.window_starts(len(words), WIDTH, STRIDE) for words in split]
     evidence = word_odds[vocabulary.rows] + np.add.reduceat(gram_odds[vocabulary.grams], vocabulary.starts) / vocabulary.sizes
-    suspicion = [np.array([evidence[words[s : s + WIDTH]].max() for s in starts[i]]) for i, words in enumerate(split)]
+    suspicion = [
+        np.lib.stride_tricks.sliding_window_view(evidence[words], min(WIDTH, len(words))).max(axis=1) for words in split
+    ]
     positive = max(1, int((y[own] == 1).sum()))
     weight = {1: 0.5 / positive, 0: 0.5 / max(1, len(own) - positive)}
     adam = Adam(weights, RATE)
     for _ in range(ROUNDS):
         windows, targets, importance = [], [], []
         for i in own:
-            ranked = np.argsort(-suspicion[i], kind="stable")
-            chosen = {int(ranked[0])} if y[i] else {int(k) for k in ranked[:3]} | {int(draw.integers(len(ranked)))}
-            for k in chosen:
-                windows.append(split[i][starts[i][k] : starts[i][k] + WIDTH])
+            chosen = set(apart(suspicion[i], 1 if y[i] else 3))
+            if not y[i]:
+                chosen.add(int(draw.integers(len(suspicion[i]))))
+            for k in sorted(chosen):
+                windows.append(with_context(split[i], k))
                 targets.append(y[i])
                 importance.append(weight[int(y[i])] / len(chosen) * len(own))
             if not y[i]:  # clean words stay clean when they repeat, as in lists and junk
                 few = split[i][draw.integers(len(split[i]), size=3)]
-                windows.append(few[np.arange(WIDTH) * len(few) // WIDTH])
+                windows.append((few[np.arange(WIDTH) * len(few) // WIDTH], 0, WIDTH))
                 targets.append(0.0)
                 importance.append(weight[0] / 4 * len(own))
         for _ in range(EPOCHS):
@@ -148,7 +165,7 @@ def fit(texts: list[str], labels: list[int], seed: int = SEED) -> Model | None:
             words, ids = np.unique(np.concatenate(part), return_inverse=True)
             added = gru.project(vocabulary.embed(words, weights), weights)
             texts_of = np.split(ids, np.cumsum([len(t) for t in part])[:-1])
-            suspicion += gru.window_logits(texts_of, added, weights, WIDTH, STRIDE)
+            suspicion += gru.window_logits(texts_of, added, weights, WIDTH)
         adam.rate /= 2
     most = np.array([s.max() for s in suspicion])
     return Model(weights, _threshold(most[back], y[back]) if back.any() else 0.0)
@@ -176,7 +193,7 @@ class Scorer:
         if self.model is None:
             return [0.0] * len(texts)
         ids = self.words.ids([gru.words_of(t) for t in texts])
-        found = gru.window_logits(ids, self.words.added, self.model.weights, WIDTH, STRIDE)
+        found = gru.window_logits(ids, self.words.added, self.model.weights, WIDTH)
         return [float(1 / (1 + np.exp(-np.clip(float(x.max()) - self.model.shift, -30, 30)))) if len(x) else 0.0 for x in found]
 
 

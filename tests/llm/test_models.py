@@ -32,12 +32,52 @@ def test_gradients_equal_differences():
         assert value[at] == pytest.approx((up - down) / 2e-3, rel=0.02, abs=1e-4)
 
 
-def test_windows_cover_every_word():
-    for n in (1, 5, 32, 33, 100, 1000):
-        starts = gru.window_starts(n, 32, 16)
-        assert {w for s in starts for w in range(s, min(n, s + 32))} == set(range(n))
-        assert all(b - a <= 16 for a, b in zip(starts, starts[1:], strict=False))
-    assert gru.window_starts(0, 32, 16) == []
+def test_windows_begin_at_every_word():
+    weights = gru.new_weights(2)
+    draw = np.random.default_rng(4)
+    added = gru.project(draw.normal(0, 1, (50, 2 * gru.EMBEDDING)).astype(np.float32), weights)
+    texts = [draw.integers(0, 50, n) for n in (0, 1, 5, 32, 33, 256, 700)]
+    found = gru.window_logits(texts, added, weights, 32)
+    assert [len(f) for f in found] == [0, 1, 1, 1, 2, 225, 669]
+    for text, logits in zip(texts, found, strict=True):
+        if not len(text):
+            continue
+        for start in {0, len(logits) // 2, len(logits) - 1}:
+            # The block's states by themselves, then pooled directly.
+            attention, read = gru.word_values([text], added, weights)
+            own = slice(start, start + 32)
+            share = np.exp(attention[own])
+            assert logits[start] == pytest.approx((share * read[own]).sum() / share.sum() + weights["read_bias"][0], abs=1e-5)
+    # Inside one block a window with all of the text as context is what the training step sees.
+    text = texts[3]
+    x = np.stack([added[0][text[:, None]], added[1][text[::-1][:, None]]])
+    assert found[3][0] == pytest.approx(gru.forward(x, weights, slice(None))[0][0], abs=1e-5)
+
+
+def test_blocks_share_out_all_words():
+    for n in (1, 255, 256, 257, 1000):
+        blocks = gru.blocks_of([3, n])
+        words = [w for t, first, end, _, _ in blocks for w in range(first, end) if t == 1]
+        assert words == list(range(n))
+        assert all(a == max(0, f - gru.CONTEXT) and b == min((3, n)[t], e + gru.CONTEXT) for t, f, e, a, b in blocks)
+
+
+def test_context_takes_part_in_gradients_but_not_in_pooling():
+    draw = np.random.default_rng(7)
+    weights = {k: v.astype(np.float64) for k, v in gru.new_weights(1).items()}
+    e, ids = draw.normal(size=(9, 2 * gru.EMBEDDING)), draw.integers(0, 9, (4, 7))
+    y, importance, inner = np.array([1, 0, 1, 0.0]), np.ones(4), slice(2, 5)
+    _, g, d_e = gru.gradients(e, ids, y, importance, weights, inner)
+    for name, value in [*g.items(), ("e", d_e)]:
+        own = e if name == "e" else weights[name]
+        at = np.unravel_index(np.argmax(np.abs(value)), value.shape)
+        kept = own[at]
+        losses = []
+        for step in (1e-3, -1e-3):
+            own[at] = kept + step
+            losses.append(gru.gradients(e, ids, y, importance, weights, inner)[0])
+        own[at] = kept
+        assert value[at] == pytest.approx((losses[0] - losses[1]) / 2e-3, rel=0.02, abs=1e-4)
 
 
 def test_scores_do_not_depend_on_the_batch():
