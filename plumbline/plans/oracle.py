@@ -1137,3 +1137,8 @@ ORACLE_SQL["roc_auc"] = (
 ORACLE_SQL["network_reconstruction"] = (
     f"{LISTINGS} SELECT count(*) AS reconstructed_rows, true AS all_errors_valid, true AS at_most_projection FROM listings"
 )
+
+ORACLE_SQL["csv_round_trip"] = (
+    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, row_number() OVER (ORDER BY c_custkey) - 1 AS row_id, "
+    "0::BIGINT AS corrupt_lines FROM customer"
+)

@@ -6,10 +6,12 @@ floats rounded, so that they can be compared with SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators import (
     anomaly,
@@ -30,7 +32,8 @@ from plumbline.operators import (
     textquality,
 )
 from plumbline.plans import cleaning, full, validation
-from plumbline.session import settle
+from plumbline.session import ensure_checkpoint_dir, settle
+from plumbline.sources import files
 from plumbline.sources.derived import host_profiles, listings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +54,21 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+# Files
+
+
+@query
+def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written as gzip CSV with header texts to the shared folder, staged by a pinned schema and numbered by place."""
+    rows = table(spark, sf, "customer")
+    titles = [c.replace("_", " ").title() for c in rows.columns]
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    files.write_csv(rows.orderBy("c_custkey").toDF(*titles), path, "gzip")
+    schema = T.StructType([T.StructField(t, f.dataType) for t, f in zip(titles, rows.schema.fields, strict=True)])
+    good, bad = files.stage_csv(spark, path, schema)
+    return files.standardize_column_names(good).withColumn("corrupt_lines", bad.agg(F.count("*")).scalar())
+
+
 # Profiles
 
 

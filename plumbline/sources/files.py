@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -51,8 +52,27 @@ def read_csv(
     return df.repartition(partitions) if partitions else df
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+CORRUPT = "_corrupt_record"
+
+
+def stage_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, row_key: str = "row_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV that fit a pinned ``schema``, and the lines that do not as ``_corrupt_record``, each with its place.
+
+    The file is read once and settled. A line is one record here, so that a broken quote costs one line and
+    not the rest of the file; nothing is inferred and no line is dropped.
+    """
+    fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+    whole = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(whole).option("header", True).option("escape", '"').option("columnPruning", False)
+    read = with_row_key(reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path), row_key)
+    return read.where(F.col(CORRUPT).isNull()).drop(CORRUPT), read.where(F.col(CORRUPT).isNotNull()).select(row_key, CORRUPT)
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    (writer.option("compression", compression) if compression else writer).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -89,6 +109,36 @@ def parquet_or(spark: SparkSession, cache_path: str, build: Callable[[], DataFra
         return spark.read.parquet(cache_path)
 
 
+def fingerprint(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> str:
+    """SHA-256 of a source's files (names, lengths, times of change) and the schema it is read with; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    line = F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+    # One line per file; sums of hashes need no order and no list of them.
+    mark = files.agg(F.count("*").alias("n"), F.sum(F.xxhash64(line).cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64(F.lit(1), line).cast("decimal(38,0)")).alias("b")).first()
+    kind = schema.json() if isinstance(schema, T.StructType) else str(schema)
+    return hashlib.sha256(f"{mark.n}|{mark.a}|{mark.b}|{kind}".encode()).hexdigest()
+
+
+def cached_table(spark: SparkSession, path: str, cache_path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """The Parquet copy of a CSV source, rebuilt when the source or its schema has changed.
+
+    A manifest beside the copy keeps the source's fingerprint. It is written last, so a copy that was not finished is
+    never taken for a whole one.
+    """
+    now, manifest = fingerprint(spark, path, schema), f"{cache_path}.manifest"
+    try:
+        kept = spark.read.schema("fingerprint string").json(manifest).first()
+        if kept is not None and kept.fingerprint == now:
+            return read_parquet(spark, cache_path)
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+    write_json(spark.range(0).select(F.lit("").alias("fingerprint")), manifest)  # what follows may end half way
+    write_parquet(standardize_column_names(read_csv(spark, path, schema)), cache_path)
+    write_json(spark.range(1).select(F.lit(now).alias("fingerprint")), manifest)
+    return read_parquet(spark, cache_path)
+
+
 def with_row_key(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Row key of a table read from files: the row's number from 0, by file name and place in the file.
 
