@@ -7,16 +7,21 @@ from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
 NAMES = [
+    "csv_round_trip",
     "column_profile_listings",
     "metadata_report",
     "boxplot_stats",
+    "inferred_schema",
     "duplicates_by_edit_distance",
+    "duplicates_by_terms",
     "impute_knn",
     "clean_table",
     "quality_score",
     "rule_violations",
     "statistical_errors",
     "drift_listings",
+    "drift_report",
+    "network_reconstruction",
     "lof_scores",
     "text_quality",
     "list_parse",
