@@ -1,6 +1,5 @@
 """Operators without SQL equivalents against brute force on small fixtures."""
 
-
 import numpy as np
 import pandas as pd
 import pytest
