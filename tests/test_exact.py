@@ -60,3 +60,34 @@ def test_removed_rows_remove_nothing(spark):
     df = spark.createDataFrame(data, "row_id long, id long, host_id long, latitude double, longitude double, name string")
     kept, _ = dedup.deduplicate(df, "row_id", threshold=0.65)
     assert sorted(r["row_id"] for r in kept.collect()) == [1, 3]
+
+
+def counted_pairs(monkeypatch, x, want, offer, k):
+    """Pairs measured by one search of a tile, after a check against brute force."""
+    measured, inner = [], neighbours._near
+    monkeypatch.setattr(neighbours, "_near", lambda q, i, *rest: measured.append(len(i)) or inner(q, i, *rest))
+    keys, asking = np.arange(len(x)), np.flatnonzero(want.any(axis=1))
+    endless = np.full(len(asking), np.inf)
+    got = {}
+    for who, t, point, _, rank in neighbours.search(x[asking], keys[asking], want[asking], endless, x, keys, offer, k, tighten=True):
+        got.update({(asking[w], t, r): p for w, p, r in zip(who, point, rank, strict=True)})
+    for q in asking[:20]:
+        for t in np.flatnonzero(want[q]):
+            d = neighbours.distances(np.repeat(x[q : q + 1], len(x), axis=0), x)
+            d[(keys == q) | ~offer[:, t]] = np.inf
+            assert [got[q, t, r] for r in range(k)] == list(np.lexsort((keys, d))[:k])
+    return sum(measured) / len(asking)
+
+
+def test_a_search_measures_a_small_part_of_the_tile(monkeypatch):
+    x = np.random.default_rng(5).random((10_000, 4))
+    everything = np.ones((len(x), 1), dtype=bool)
+    assert counted_pairs(monkeypatch, x, everything, everything, 20) < len(x) / 5
+
+
+def test_a_search_without_the_widest_column_measures_a_small_part(monkeypatch):
+    draw = np.random.default_rng(6)
+    x = draw.random((20_000, 3)) * np.array([1_000.0, 300.0, 200.0])
+    x[draw.random(len(x)) < 0.05, 0] = np.nan
+    want = np.isnan(x[:, :1])
+    assert counted_pairs(monkeypatch, x, want, ~want, 5) < len(x) / 3
