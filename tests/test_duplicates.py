@@ -157,3 +157,9 @@ def test_hot_block(spark):
     assert len([r for r in flats if r[0] in kept]) == 1
     assert {x for x in log if rows[x[0]][5].startswith("flat")} == by_hand(flats, 0.9, "ratio")
     assert len(log) == len(flats) - 1
+
+
+def test_a_partner_is_looked_for_once():
+    compare = dedup.comparison("levenshtein", 0.9)
+    assert str(compare.walk("e")).count("levenshtein") <= 2
+    assert str(compare.scan("a", "b")).count("levenshtein") <= 2
