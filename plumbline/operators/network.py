@@ -1,7 +1,7 @@
 """A small relu network that reproduces its input, trained on all rows.
 
 Hidden layers of ``HIDDEN`` units and a linear output. Loss and gradient of the whole table are summed by
-Spark: a task goes through its rows in batches and hands on one number per weight, which are added up before
+Spark: the rows are packed into blocks of numbers once, a task goes through its blocks in batches and hands on one number per weight, which are added up before
 the driver sees them. The driver takes quasi-Newton steps (limited memory, with a line search that only accepts a lower
 loss), so there is one pass over the rows per evaluation and at most ``EVALUATIONS`` of them.
 
@@ -19,9 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import settle
+
 HIDDEN = (4, 2, 4)
 EVALUATIONS = 25
 MEMORY = 8
+BLOCK_ROWS = 50_000  # rows of a block that a pass reads whole
+BATCH_ROWS = 10_000  # rows that go through the layers together
 SEED = 42
 
 Layers = list[tuple[np.ndarray, np.ndarray]]
@@ -60,19 +64,46 @@ def loss_and_gradient(x: np.ndarray, layers: Layers) -> tuple[float, np.ndarray]
     return float((error**2).sum()), flattened(grads[::-1])
 
 
-def _summed(rows: DataFrame, columns: Sequence[str], flat: np.ndarray, sizes: Sequence[tuple[int, int]]) -> tuple[float, np.ndarray]:
+def packed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The number columns of ``rows`` as blocks of up to ``BLOCK_ROWS`` rows, each one binary cell, settled.
+
+    A pass over them hands a task's rows to numpy without taking them apart one by one.
+    """
+
+    def run(batches):
+        held, count = [], 0
+        for batch in batches:
+            held.append(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+            count += len(held[-1])
+            if count >= BLOCK_ROWS:
+                yield _cell(held)
+                held, count = [], 0
+        if count:
+            yield _cell(held)
+
+    return settle(rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(run, "block binary"))
+
+
+def _cell(held: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([np.concatenate(held).tobytes()], pa.binary())], names=["block"])
+
+
+def _summed(blocks: DataFrame, flat: np.ndarray, sizes: Sequence[tuple[int, int]]) -> tuple[float, np.ndarray]:
     """Mean loss and gradient over all rows: one number per weight and task is shuffled."""
 
     def run(batches):
         total = np.zeros(len(flat) + 2)
         layers = layers_of(flat, sizes)
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            loss, gradient = loss_and_gradient(x, layers)
-            total += np.concatenate([[len(x), loss], gradient])
+            for block in batch.column(0):
+                rows = np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(-1, sizes[0][0])
+                for start in range(0, len(rows), BATCH_ROWS):
+                    x = rows[start : start + BATCH_ROWS]
+                    loss, gradient = loss_and_gradient(x, layers)
+                    total += np.concatenate([[len(x), loss], gradient])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["place", "value"])
 
-    partial = rows.select(*columns).mapInArrow(run, "place int, value double")
+    partial = blocks.mapInArrow(run, "place int, value double")
     found = {r["place"]: r["value"] for r in partial.groupBy("place").agg(F.sum("value").alias("value")).collect()}
     total = np.array([found[i] for i in range(len(found))])
     return total[1] / max(total[0], 1), total[2:] / max(total[0], 1)
@@ -134,7 +165,8 @@ def train(rows: DataFrame, columns: Sequence[str], axes: np.ndarray, hidden: Seq
     lowest = rows.agg(*[F.min(code).alias(f"m{m}") for m, code in enumerate(codes)]).first()
     start = from_axes(axes, np.array([max(0.0, -(v or 0.0)) for v in lowest]), hidden, seed)
     sizes = shapes(len(columns), hidden)
-    return layers_of(minimise(lambda flat: _summed(rows, columns, flat, sizes), flattened(start), evaluations), sizes)
+    blocks = packed(rows, columns)
+    return layers_of(minimise(lambda flat: _summed(blocks, flat, sizes), flattened(start), evaluations), sizes)
 
 
 def squared_error(rows: DataFrame, columns: Sequence[str], layers: Layers) -> DataFrame:

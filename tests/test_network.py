@@ -60,3 +60,11 @@ def test_equal_rows_and_no_rows(spark, rows):
     same = settle(rows.select("key", *[F.lit(0.0).alias(c) for c in COLUMNS]))
     assert {round(r.mse, 12) for r in anomaly.network_errors(same, COLUMNS).collect()} == {0.0}
     assert anomaly.network_errors(rows.limit(0), COLUMNS).count() == 0
+
+
+def test_passes_read_blocks_of_rows(spark):
+    rows = spark.range(120_000).selectExpr("id AS key", "id / 2.0 AS a", "-id AS b").coalesce(1)
+    blocks = network.packed(rows, ["a", "b"])
+    assert blocks.count() == 3
+    held = np.concatenate([np.frombuffer(r["block"]).reshape(-1, 2) for r in blocks.collect()])
+    assert (held == np.column_stack([np.arange(120_000) / 2, -np.arange(120_000)])).all()
