@@ -91,3 +91,13 @@ def test_a_search_without_the_widest_column_measures_a_small_part(monkeypatch):
     x[draw.random(len(x)) < 0.05, 0] = np.nan
     want = np.isnan(x[:, :1])
     assert counted_pairs(monkeypatch, x, want, ~want, 5) < len(x) / 3
+
+
+def test_a_search_holds_a_bounded_number_of_pairs(monkeypatch):
+    sizes, inner = [], neighbours._near
+    monkeypatch.setattr(neighbours, "_near", lambda q, i, *rest: sizes.append(len(i)) or inner(q, i, *rest))
+    x, all_ = np.random.default_rng(7).random((2_000, 3)), np.ones((2_000, 1), dtype=bool)
+    keys, endless = np.arange(len(x)), np.full(len(x), np.inf)
+    found = sum(len(who) for who, *_ in neighbours.search(x, keys, all_, endless, x, keys, all_, 3))
+    assert found == 3 * len(x) and sum(sizes) == len(x) ** 2
+    assert max(sizes) <= neighbours.PAIRS + len(x)
