@@ -43,6 +43,43 @@ def test_nearest_equals_brute_force(spark, monkeypatch, targets):
     )
 
 
+def test_rows_without_the_widest_column_search_a_view_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 60)
+    draw = np.random.default_rng(8)
+    x = draw.random((4_000, 3)) * np.array([10_000.0, 300.0, 200.0])
+    x[draw.random(len(x)) < 0.2, 0] = np.nan
+    views = neighbours.seeker_views(x, 100)
+    lacking = x[np.isnan(x[:, 0])]
+    radius = np.full(len(lacking), 10.0)
+    visits = [len(tree.touched(lacking, radius)[0]) / len(lacking) for _, tree in views]
+    assert [hidden for hidden, _ in views] == [[], [0]] and visits[0] > 50 and visits[1] < 5
+    assert set(neighbours.view_of(lacking, [[], [0]])) == {1} and not neighbours.view_of(x[~np.isnan(x[:, 0])], [[], [0]]).any()
+
+    pdf = pd.DataFrame(np.floor(x[:1_200] / 5), columns=["a", "b", "c"])
+    pdf.loc[draw.random(len(pdf)) < 0.2, "b"] = np.nan
+    pdf.insert(0, "key", draw.permutation(len(pdf)))
+    assert len(neighbours.seeker_views(pdf[["a", "b", "c"]].to_numpy(), 1_200 // 25)) > 2
+    df = spark.createDataFrame(pdf).select("key", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abc"])
+    got = neighbours.nearest(df, "key", ["a", "b", "c"], 4, ["a", "b"], box_rows=25)
+    assert {(r["key"], r["target"], r["neighbour"]) for r in got.collect()} == all_neighbours(pdf, ["a", "b", "c"], 4, ["a", "b"])
+
+
+def test_a_visitor_with_a_loose_radius_measures_few_pairs(monkeypatch):
+    sizes, inner = [], neighbours._near
+    monkeypatch.setattr(neighbours, "_near", lambda q, i, *rest: sizes.append(len(i)) or inner(q, i, *rest))
+    draw = np.random.default_rng(9)
+    x, q = draw.random((5_000, 3)), draw.random((200, 3))
+    want, loose = np.ones((len(q), 1), dtype=bool), np.full(len(q), 0.5)
+    offer = np.ones((len(x), 1), dtype=bool)
+    names, keys = np.arange(len(q)) + 10_000, np.arange(len(x))
+    found = {}
+    for crowd in (None, 1_024):
+        del sizes[:]
+        hits = [(who, near, rank) for who, _, near, _, rank in neighbours.search(q, names, want, loose, x, keys, offer, 3, crowd=crowd)]
+        found[crowd] = sorted((w, r, p) for who, near, rank in hits for w, p, r in zip(who, near, rank, strict=True)), sum(sizes)
+    assert found[None][0] == found[1_024][0] and found[1_024][1] < found[None][1] / 5
+
+
 def test_repeated_rows_share_their_outlier_factor(spark):
     # One vector holds half of the rows; its later copies only look their factor up.
     same = [(i, 0.0, 0.0) for i in range(60)]
