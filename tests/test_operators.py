@@ -104,6 +104,28 @@ def test_price_from_raw_then_median(spark):
     assert got == {1: 1234.5, 2: 80.0, 3: 1234.5}
 
 
+def plan_text(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_price_text_is_parsed_once_for_each_side(spark):
+    data = [(1, 10, "$1.50"), (2, 10, "$2.00"), (3, 11, None), (4, None, "$0"), (5, 12, "$1,000")]
+    df = spark.createDataFrame(data, "row_id long, id long, price string").repartition(1)
+    got = normalize.normalize_price(df, df, "row_id")
+    assert got.columns == df.columns and plan_text(got).count("regexp_replace") <= 2
+    assert {r.row_id: r.price for r in got.collect()} == {1: 1.5, 2: 2.0, 3: 2.0, 4: 2.0, 5: 1000.0}
+
+
+def test_scrape_date_is_parsed_once(spark):
+    data = [("bad date", None, None), ("03-02-2020", None, "01-02-2019"), (None, "2019-06-05", "x"), (" 2020/02/03 ", "5 May 2019", None)]
+    df = spark.createDataFrame(data, "last_scraped string, host_since string, first_review string").repartition(1)
+    got = normalize.parse_dates(df)
+    # Once for the scrape date, once for the first review, once for the start of hosting.
+    assert got.columns == df.columns and plan_text(got).count("yyyy/MM/dd") <= 3
+    expected = {("2026-06-16", "2025-06-16"), ("2020-02-03", "2019-02-01"), ("2026-06-16", "2019-06-05"), ("2020-02-03", "2019-05-05")}
+    assert {tuple(r)[:2] for r in got.collect()} == expected
+
+
 def test_bathroom_text(spark):
     data = [("1.5 baths", None), ("Half-bath", None), ("Shared half-bath", None), ("2 shared baths", None), (None, 2.0), (None, None)]
     df = spark.createDataFrame(data, "bathrooms_text string, bathrooms double")
