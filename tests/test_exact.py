@@ -64,6 +64,13 @@ def test_rows_without_the_widest_column_search_a_view_of_their_own(spark, monkey
     assert {(r["key"], r["target"], r["neighbour"]) for r in got.collect()} == all_neighbours(pdf, ["a", "b", "c"], 4, ["a", "b"])
 
 
+def test_a_repeated_key_still_gets_k_neighbours(spark):
+    data = [(i, float(i % 10), float(i // 10)) for i in range(100)]
+    df = spark.createDataFrame(data + data[:20], "key long, x double, y double")
+    found = neighbours.nearest(df, "key", ["x", "y"], 3).groupBy("key").count().collect()
+    assert {(r["key"], r["count"]) for r in found} == {(i, 3) for i in range(100)}
+
+
 def test_a_visitor_with_a_loose_radius_measures_few_pairs(monkeypatch):
     sizes, inner = [], neighbours._near
     monkeypatch.setattr(neighbours, "_near", lambda q, i, *rest: sizes.append(len(i)) or inner(q, i, *rest))
