@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from plumbline.operators import anomaly, drift, errors, evaluate, health, listfields, rules, textquality
 from plumbline.operators.issues import Check
-from plumbline.session import settle
+from plumbline.session import compiled_methods, settle
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,7 @@ def run_validation(
     with_anomalies: bool = True,
 ) -> Validated:
     """All findings about ``df`` and the scores built on them."""
+    compiled_methods(df.sparkSession)
     scores = anomaly.anomaly_scores(df, key, contamination=contamination) if with_anomalies else None
     issues = settle(find_issues(df, key, rule_list, scores))
     return Validated(df, key, issues, scores, rule_list)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import quantiles
 from plumbline.operators import drift, evaluate, features, health, impute, listfields, normalize, profile, quality, rules
 from plumbline.operators import schema, textquality
+from plumbline.session import compiled_methods
 from plumbline.sources import files
 
 
@@ -116,6 +117,55 @@ def test_price_text_is_parsed_once_for_each_side(spark):
     assert {r.row_id: r.price for r in got.collect()} == {1: 1.5, 2: 2.0, 3: 2.0, 4: 2.0, 5: 1000.0}
 
 
+def test_price_lookup_deals_unique_rows_once(spark):
+    data = [(1, 10, "$1.50"), (2, 11, "$0"), (3, 11, "$7"), (4, None, "$0"), (5, None, "$3"), (6, 12, None), (7, 10, "$9")]
+    df = spark.createDataFrame(data, "row_id long, id long, price string").repartition(3)
+    raw = spark.createDataFrame([(1, 10, "$8"), (3, 11, "$7"), (4, 11, "$5"), (5, 12, "$0")], df.schema)
+    unique = normalize.keep_first(df, "row_id", ["id"])
+    got = normalize.normalize_price(unique, raw, one_per_id=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()  # not run yet
+    assert got.columns == df.columns and plan.count("Exchange hashpartitioning") == 2
+    assert sorted(rows(got)) == sorted(rows(normalize.normalize_price(unique, raw)))
+    assert dict(rows(got.select("row_id", "price"))) == {1: 1.5, 2: 7.0, 4: 1.5, 6: 1.5}
+
+
+def test_raw_median_counts_only_without_valid_prices(spark):
+    df = spark.createDataFrame([(1, 1, None)], "row_id long, id long, price string")
+    raw = spark.createDataFrame([(1, 2, "$4"), (2, 3, "$6")], df.schema)
+    assert rows(normalize.normalize_price(df, raw).select("price")) == [(5.0,)]
+    assert rows(normalize.normalize_price(df, df).select("price")) == [(100.0,)]
+
+
+def test_fills_are_worked_out_for_columns_with_missing_cells_only(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 2.0, "a", None), (None, 3.0, "a", "x"), (3, 4.0, "b", "x")], "n int, m double, s string, t string")
+    asked, row, mode = [], impute.quantile_row, impute.modes
+    monkeypatch.setattr(impute, "quantile_row", lambda df, value, p: asked.extend(value) or row(df, value, p))
+    monkeypatch.setattr(impute, "modes", lambda df, columns: asked.extend(columns) or mode(df, columns))
+    kinds = [("n", "integer"), ("m", "float"), ("s", "string"), ("t", "string")]
+    spec = spark.createDataFrame([(c, k, False) for c, k in kinds], "column string, expected_dtype string, is_nullable boolean")
+    got = impute.enforce_non_null(df, spec)
+    assert asked == ["n", "t"] and got.columns == df.columns
+    assert sorted(rows(got)) == [(1.0, 2.0, "a", "x"), (2.0, 3.0, "a", "x"), (3.0, 4.0, "b", "x")]
+
+
+def test_wide_steps_stay_compiled(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(limit)
+    try:
+        for given, kept in (("65535", "8000"), ("100", "100")):
+            spark.conf.set(limit, given)
+            compiled_methods(spark)
+            assert spark.conf.get(limit) == kept
+    finally:
+        spark.conf.set(limit, was)
+
+
+def test_columns_with_few_values(spark):
+    df = spark.range(40).selectExpr("CAST(id % 9 AS STRING) AS a", "CAST(id % 10 AS STRING) AS b", "CAST(NULL AS STRING) AS c")
+    assert profile.has_few_values(df, ["a", "b", "c"], 10) == {"a", "c"}
+    assert schema.infer_schema(df.limit(0)).count() == 0
+
+
 def test_scrape_date_is_parsed_once(spark):
     data = [("bad date", None, None), ("03-02-2020", None, "01-02-2019"), (None, "2019-06-05", "x"), (" 2020/02/03 ", "5 May 2019", None)]
     df = spark.createDataFrame(data, "last_scraped string, host_since string, first_review string").repartition(1)
