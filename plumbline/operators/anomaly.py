@@ -170,7 +170,8 @@ def lof_scores(scaled: DataFrame, columns: Sequence[str], k: int = LOF_NEIGHBOUR
         .groupBy("key")
         .agg(F.avg("other").alias("mean_other"))
     )
-    factors = around.join(density, "key").select("key", (F.col("mean_other") / F.col("lrd")).alias("lof"))
+    # Read three times below; it has one row per standing row.
+    factors = settle(around.join(density, "key").select("key", (F.col("mean_other") / F.col("lrd")).alias("lof")))
     # Repeated vectors beyond copy k + 1 look their factor up.
     last = standing.where(F.col("rn") == k + 1).join(factors, "key").drop("key", "rn")
     sizes = scaled.groupBy(*columns).agg(F.count("*").alias("n")).where(F.col("n") > k + 1)

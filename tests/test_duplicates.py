@@ -132,6 +132,45 @@ def test_character_counts_bound_the_ratio_and_spare_most_pairs():
     assert pool.computed < len(names) ** 2 / 2 / 50
 
 
+def test_ratio_is_that_of_the_published_matcher():
+    draw = random.Random(2)
+    for n in range(3_000):
+        letters = ("ab", "abc é", "abcdefghij 日🙂")[n % 3]
+        a = "".join(draw.choice(letters) for _ in range(draw.randint(0, 30 if n % 100 else 300)))
+        b = "".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) if n % 2 else "".join(c for c in a if draw.random() > 0.2) + "x"
+        assert dedup.ratio(a, b) == SequenceMatcher(None, a, b).ratio(), (a, b)
+
+
+def test_few_short_names_need_no_matcher_and_no_counts(monkeypatch):
+    def refuse(*_):
+        raise AssertionError("slow path")
+
+    monkeypatch.setattr(dedup, "character_counts", refuse)
+    monkeypatch.setattr(dedup, "SequenceMatcher", refuse)
+    pool = dedup.Pool(0.85, True)
+    entries = [{"ord": i, "id": str(i), "cname": t, "text": t} for i, t in enumerate(["suite no 1", "loft", "suite no 2", "suite no 1"])]
+    assert pool.first(entries[0], 0, 0) is None
+    pool.add(entries[0])
+    assert pool.first(entries[1], 0, 1) is None and pool.computed == 0
+    pool.add(entries[1])
+    assert pool.first(entries[2], 0, 2) == {"ord": 2, "kept_ord": 0, "kind": "fuzzy", "similarity": 0.9}
+    assert pool.first(entries[3], 0, 2)["kind"] == "exact"
+
+
+def test_copies_are_looked_for_among_rows_that_share_an_entry_only(spark, monkeypatch):
+    looked = []
+    later = dedup._later_copies
+    monkeypatch.setattr(dedup, "_later_copies", lambda rows, on: looked.append(rows.count()) or later(rows, on))
+    rows = [(i, i, 1, 42.0, -73.0, f"{'abcdefghij'[i] * 9}") for i in range(10)]
+    rows += [(20, 3, 1, 42.0, -73.0, "ddddddddd"), (21, 4, None, None, None, None), (22, 4, None, None, None, None)]
+    log = dedup.duplicate_log(spark.createDataFrame(rows, SCHEMA), "row_id", 0.85)
+    assert {(r.removed_key, r.retained_key, r.kind) for r in log.collect()} == {(20, 3, "exact_full_row"), (22, 21, "exact_full_row")}
+    assert looked == [4]
+    # Hosts that are -0.0 and 0.0 are equal in a row's signature, but not as text.
+    odd = spark.createDataFrame([(1, 7, -0.0, 42.0, -73.0, "a"), (2, 7, 0.0, 42.0, -73.0, "a")], SCHEMA.replace("host_id bigint", "host_id double"))
+    assert [(r.removed_key, r.retained_key, r.kind) for r in dedup.duplicate_log(odd, "row_id", 0.85).collect()] == [(2, 1, "exact_full_row")]
+
+
 def test_folded_counts_are_never_below_common_characters():
     draw = random.Random(1)
     for _ in range(200):
