@@ -145,3 +145,10 @@ def test_a_search_holds_a_bounded_number_of_pairs(monkeypatch):
     found = sum(len(who) for who, *_ in neighbours.search(x, keys, all_, endless, x, keys, all_, 3))
     assert found == 3 * len(x) and sum(sizes) == len(x) ** 2
     assert max(sizes) <= neighbours.PAIRS + len(x)
+
+
+def test_hits_are_dealt_by_key_before_they_are_ranked(spark):
+    points = spark.range(300).selectExpr("id AS key", "CAST(id % 17 AS double) AS a", "CAST(id % 23 AS double) AS b")
+    plan = neighbours.nearest(points, "key", ["a", "b"], 3)._jdf.queryExecution().executedPlan().toString()
+    ranked, dealt = plan.index("Window"), plan.index("Exchange hashpartitioning(key")
+    assert ranked < dealt and "Window" not in plan[dealt:], plan
