@@ -152,3 +152,28 @@ def test_hits_are_dealt_by_key_before_they_are_ranked(spark):
     plan = neighbours.nearest(points, "key", ["a", "b"], 3)._jdf.queryExecution().executedPlan().toString()
     ranked, dealt = plan.index("Window"), plan.index("Exchange hashpartitioning(key")
     assert ranked < dealt and "Window" not in plan[dealt:], plan
+
+
+def test_points_are_put_into_blocks_without_a_column_that_the_queries_lack(monkeypatch):
+    draw = np.random.default_rng(10)
+    x = draw.random((20_000, 3)) * np.array([1_000.0, 300.0, 200.0])
+    x[draw.random(len(x)) < 0.05, 0] = np.nan
+    want = np.isnan(x[:, :1])
+    assert counted_pairs(monkeypatch, x, want, ~want, 5) < len(x) / 20
+
+
+def test_products_of_blocks_find_the_same_rows_among_odd_numbers():
+    draw = np.random.default_rng(11)
+    for odd in (1e9, 1e200, np.inf):
+        x = draw.integers(0, 9, (600, 4)).astype(float)
+        x[draw.random(x.shape) < 0.1] = np.nan
+        x[:5, 1], x[5:9, 2] = odd, -odd
+        all_, keys = np.ones((600, 1), dtype=bool), draw.permutation(600)
+        got = {}
+        for who, _, point, _, rank in neighbours.search(x, keys, all_, np.full(600, np.inf), x, keys, all_, 4, tighten=True):
+            got.update({(w, r): q for w, q, r in zip(who, point, rank, strict=True)})
+        for i in range(600):
+            d = neighbours.distances(np.repeat(x[i : i + 1], 600, axis=0), x)
+            d[i] = np.inf
+            best = [j for j in np.lexsort((keys, d))[:4] if d[j] < np.inf]
+            assert [got[i, r] for r in range(len(best))] == best
