@@ -12,6 +12,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.localfactor import local_factors
 from plumbline.functions.neighbours import nearest
 from plumbline.functions.numeric import as_double, count_where, percent
 from plumbline.functions.quantiles import quantile_row
@@ -157,6 +158,22 @@ def lof_scores(scaled: DataFrame, columns: Sequence[str], k: int = LOF_NEIGHBOUR
         scaled.select("key", *columns).withColumn("rn", F.row_number().over(copy)).where(F.col("rn") <= k + 1)
     )
     extra = {} if box_rows is None else {"box_rows": box_rows}
+    # Tiles know their rows by key.
+    odd = standing.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("key").isNull())
+    factors = local_factors(standing, columns, k, **extra) if odd.isEmpty() else _joined_factors(standing, columns, k, **extra)
+    # Repeated vectors beyond copy k + 1 look their factor up.
+    last = standing.where(F.col("rn") == k + 1).join(factors, "key").drop("key", "rn")
+    sizes = scaled.groupBy(*columns).agg(F.count("*").alias("n")).where(F.col("n") > k + 1)
+    packed = [*columns]
+    later = lookup_groups(
+        scaled.select("key", *columns), sizes.join(last, columns).drop("n"), packed, how="inner"
+    ).select("key", "lof")
+    later = later.join(factors.select("key"), "key", "left_anti")
+    return factors.unionByName(later)
+
+
+def _joined_factors(standing: DataFrame, columns: Sequence[str], k: int, **extra: int) -> DataFrame:
+    """``(key, lof)`` where keys repeat or are null: neighbours of all rows of a key count together, and meet by joins."""
     near = settle(nearest(standing, "key", columns, k, **extra).select("key", "neighbour", "distance"))
     reach = near.groupBy("key").agg(F.max("distance").alias("kdist"))
     density = (
@@ -170,17 +187,8 @@ def lof_scores(scaled: DataFrame, columns: Sequence[str], k: int = LOF_NEIGHBOUR
         .groupBy("key")
         .agg(F.avg("other").alias("mean_other"))
     )
-    # Read three times below; it has one row per standing row.
-    factors = settle(around.join(density, "key").select("key", (F.col("mean_other") / F.col("lrd")).alias("lof")))
-    # Repeated vectors beyond copy k + 1 look their factor up.
-    last = standing.where(F.col("rn") == k + 1).join(factors, "key").drop("key", "rn")
-    sizes = scaled.groupBy(*columns).agg(F.count("*").alias("n")).where(F.col("n") > k + 1)
-    packed = [*columns]
-    later = lookup_groups(
-        scaled.select("key", *columns), sizes.join(last, columns).drop("n"), packed, how="inner"
-    ).select("key", "lof")
-    later = later.join(factors.select("key"), "key", "left_anti")
-    return factors.unionByName(later)
+    # Read three times by the caller; it has one row per standing row.
+    return settle(around.join(density, "key").select("key", (F.col("mean_other") / F.col("lrd")).alias("lof")))
 
 
 def principal_axes(scaled: DataFrame, columns: Sequence[str], components: int = COMPONENTS) -> np.ndarray:

@@ -177,3 +177,28 @@ def test_products_of_blocks_find_the_same_rows_among_odd_numbers():
             d[i] = np.inf
             best = [j for j in np.lexsort((keys, d))[:4] if d[j] < np.inf]
             assert [got[i, r] for r in range(len(best))] == best
+
+
+def test_outlier_factors_of_tiles_equal_those_of_joins(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 150)
+    monkeypatch.setattr(neighbours, "VISITOR_ROWS", 50)
+    draw = np.random.default_rng(12)
+    pdf = pd.DataFrame(draw.integers(0, 25, (900, 3)).astype(float), columns=["x", "y", "z"])
+    pdf.insert(0, "key", draw.permutation(len(pdf)))
+    scaled = spark.createDataFrame(pdf)
+    near, joined = [], anomaly._joined_factors
+    monkeypatch.setattr(anomaly, "_joined_factors", lambda *a, **e: near.append(a) or joined(*a, **e))
+    got = {r["key"]: r["lof"] for r in anomaly.lof_scores(scaled, ["x", "y", "z"], k=6, box_rows=200).collect()}
+    assert not near  # no row of a neighbour and its distance is shuffled
+    want = {r["key"]: r["lof"] for r in joined(scaled, ["x", "y", "z"], 6, box_rows=200).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    twice = anomaly.lof_scores(scaled.unionByName(scaled.limit(50)), ["x", "y", "z"], k=6, box_rows=200)
+    assert twice.select("key").distinct().count() == 900 and len(near) == 1
+
+
+def test_outlier_factors_of_few_rows(spark):
+    few = [(i, float(i), float(i * i)) for i in range(4)]
+    for n in (0, 1, 2, 4):
+        scaled = spark.createDataFrame(few[:n], "key long, x double, y double")
+        got = {r["key"]: r["lof"] for r in anomaly.lof_scores(scaled, ["x", "y"], k=5).collect()}
+        assert set(got) == (set(range(n)) if n > 1 else set())
