@@ -107,6 +107,9 @@ def local_factors(points: DataFrame, features: Sequence[str], k: int, box_rows:
 
     met = arriving.groupBy("box", "tile", "part").cogroup(hosting.groupBy("box", "tile", "part"))
     lent = settle(met.applyInArrow(lend, f"home int, home_tile int, {columns}"))
+    # What earlier steps have shuffled goes before the next one writes.
+    del tiled, visits, arriving, hosting, met
+    collected(spark)
 
     def beside(own: DataFrame, more: DataFrame):
         """The rows of a tile beside those that are lent to it."""
@@ -129,7 +132,7 @@ def local_factors(points: DataFrame, features: Sequence[str], k: int, box_rows:
 
     kept = f"{columns}, box int, tile int, number double, near array<int>"
     local = settle(beside(seekers.drop("boxes"), lent).applyInArrow(neighbourhood, kept))
-    del seekers, visits, arriving, hosting, met
+    del seekers
     collected(spark)
 
     def numbered(own: DataFrame) -> DataFrame:
@@ -148,6 +151,8 @@ def local_factors(points: DataFrame, features: Sequence[str], k: int, box_rows:
         return pa.table(out).select(["key", *features, "box", "tile", "number", "near"])
 
     dense = settle(beside(local, numbered(local)).applyInArrow(density, kept))
+    del local
+    collected(spark)
 
     def factor(own: pa.Table, guests: pa.Table) -> pa.Table:
         own, _, keys, at = _found(own, guests, ())
@@ -158,6 +163,6 @@ def local_factors(points: DataFrame, features: Sequence[str], k: int, box_rows:
         return pa.table({"key": pa.array(keys[: len(own)][some], pa.int64()), "lof": pa.array(lof[some])})
 
     factors = settle(beside(dense.drop(*features), numbered(dense).drop(*features)).applyInArrow(factor, "key bigint, lof double"))
-    del local, dense, lent
+    del dense, lent
     collected(spark)
     return factors
